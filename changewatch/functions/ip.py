@@ -6,6 +6,8 @@ leading part of it is a network. The version is the width, so the two never mix.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -17,105 +19,117 @@ _IPV6_SHORT = f"^({_GROUP}(:{_GROUP})*)?::({_GROUP}(:{_GROUP})*)?$"
 V6_MARK = "v6-"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once. Without it every use of an intermediate result
+    repeats its expression, and nested steps multiply."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _ipv4_hex(address: Column) -> Column:
     """Hex of a dotted address that is known to be valid."""
-    octets = [F.substring_index(F.substring_index(address, ".", i + 1), ".", -1) for i in range(4)]
-    return F.concat(*[F.lpad(F.hex(o.try_cast("bigint")), 2, "0") for o in octets])
+    return F.array_join(F.transform(
+        F.split(address, r"\."), lambda octet: F.lpad(F.hex(octet.try_cast("bigint")), 2, "0")), "")
 
 
 def _without_dotted_tail(address: Column) -> Column:
     """``::ffff:1.2.3.4`` as ``::ffff:0102:0304``."""
-    tail = F.substring_index(address, ":", -1)
-    digits = _ipv4_hex(tail)
-    head = F.substring(address, F.lit(1), F.length(address) - F.length(tail))
-    return F.when(
-        address.contains(":") & tail.contains(".") & tail.rlike(_IPV4),
-        F.concat(head, F.substring(digits, 1, 4), F.lit(":"), F.substring(digits, 5, 4)),
-    ).otherwise(address)
+    def replace(tail: Column) -> Column:
+        head = F.substring(address, F.lit(1), F.length(address) - F.length(tail))
+        return F.when(tail.rlike(_IPV4), let(_ipv4_hex(tail), lambda digits: F.concat(
+            head, F.substring(digits, 1, 4), F.lit(":"), F.substring(digits, 5, 4))))
+
+    return F.coalesce(let(F.substring_index(address, ":", -1), replace), address)
 
 
 def _ipv6_hex(address: Column) -> Column:
-    """Hex of a colon form that is known to be made of at most 8 groups; null for more."""
-    def groups(side: Column) -> Column:
-        return F.when(side == "", F.array().cast("array<string>")).otherwise(F.split(side, ":"))
+    """Hex of a colon form with valid groups; null when there are too many or too few of them."""
+    # a side of "::" as its groups; the side may be empty
+    sides = F.transform(F.split(address, "::"), lambda side: F.filter(
+        F.split(side, ":"), lambda group: group != ""))
 
-    short = address.contains("::")
-    left = groups(F.substring_index(address, "::", 1))
-    right = F.when(short, groups(F.substring_index(address, "::", -1))) \
-        .otherwise(F.array().cast("array<string>"))
-    missing = F.lit(8) - F.size(left) - F.size(right)
-    full = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right)
-    digits = F.concat(*[F.lpad(F.try_element_at(full, F.lit(i)), 4, "0") for i in range(1, 9)])
-    return F.when(F.when(short, missing >= 1).otherwise(missing == 0), F.upper(digits))
+    def join(groups: Column) -> Column:
+        short = F.size(groups) == 2
+        left, right = F.get(groups, F.lit(0)), F.when(short, F.get(groups, F.lit(1))) \
+            .otherwise(F.array().cast("array<string>"))
+        missing = F.lit(8) - F.size(left) - F.size(right)
+        full = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right)
+        return F.when(F.when(short, missing >= 1).otherwise(missing == 0), F.upper(
+            F.array_join(F.transform(full, lambda group: F.lpad(group, 4, "0")), "")))
+
+    return let(sides, join)
 
 
 def address_hex(address: Column) -> Column:
     """Hex form of an address; null for anything that is not one."""
-    v6 = _without_dotted_tail(address)
-    return (
-        F.when(address.rlike(_IPV4), _ipv4_hex(address))
-        .when(v6.rlike(_IPV6_FULL) | v6.rlike(_IPV6_SHORT), _ipv6_hex(v6))
-    )
+    def colon_form(text: Column) -> Column:
+        return F.when(text.rlike(_IPV6_FULL) | text.rlike(_IPV6_SHORT), _ipv6_hex(text))
+
+    return let(address, lambda text: F.when(text.rlike(_IPV4), _ipv4_hex(text)).when(
+        text.contains(":"), let(_without_dotted_tail(text), colon_form)))
 
 
 def _mask_length(mask: Column) -> Column:
     """Prefix length of a dotted mask, either as net mask or as host mask."""
-    bits = F.lpad(F.conv(_ipv4_hex(mask), 16, 2), 32, "0")
-    ones = F.length(F.translate(bits, "0", ""))
-    return F.when(mask.rlike(_IPV4),
-                  F.when(bits.rlike("^1*0*$"), ones).when(bits.rlike("^0*1*$"), F.lit(32) - ones))
-
-
-def network(name: Column) -> tuple[Column, Column]:
-    """(hex of the address part, prefix length) of an address or network; both null for others.
-    Bits past the prefix may be set."""
-    address = F.substring_index(name, "/", 1)
-    suffix = F.when(name.contains("/"),
-                    F.substring(name, F.length(address) + 2, F.length(name)))
-    digits = address_hex(address)
-    width = F.length(digits) * 4
-    length = (
-        F.when(suffix.isNull(), width)
-        .when(suffix.rlike("^[0-9]+$"), suffix.try_cast("int"))
-        .when(width == 32, _mask_length(suffix))
-    )
-    valid = length.between(F.lit(0), width)
-    return F.when(valid, digits), F.when(valid, length)
+    def length(bits: Column) -> Column:
+        ones = F.length(F.translate(bits, "0", ""))
+        return F.when(bits.rlike("^1*0*$"), ones).when(bits.rlike("^0*1*$"), F.lit(32) - ones)
+
+    return F.when(mask.rlike(_IPV4), let(F.lpad(F.conv(_ipv4_hex(mask), 16, 2), 32, "0"), length))
+
+
+def network(name: Column) -> Column:
+    """Struct (digits, length): hex of the address part and prefix length of an address or network;
+    null for others. Bits past the prefix may be set."""
+    def parse(text: Column) -> Column:
+        suffix = F.when(text.contains("/"),
+                        F.substring(text, F.locate("/", text) + 1, F.length(text)))
+        return let(F.struct(address_hex(F.substring_index(text, "/", 1)).alias("digits"),
+                            suffix.alias("suffix")), with_length)
+
+    def with_length(part: Column) -> Column:
+        suffix, width = part["suffix"], F.length(part["digits"]) * 4
+        length = (
+            F.when(suffix.isNull(), width)
+            .when(suffix.rlike("^[0-9]+$"), suffix.try_cast("int"))
+            .when(width == 32, _mask_length(suffix))
+        )
+        return let(F.struct(part["digits"].alias("digits"), length.alias("length")),
+                   lambda net: F.when(net["length"].between(
+                       F.lit(0), F.length(net["digits"]) * 4), net))
+
+    return let(name, parse)
 
 
 def user_type(name: Column) -> Column:
     """What a user name stands for: an address, a network of several addresses, or an account."""
-    digits, length = network(name)
-    width = F.length(digits) * 4
-    version = F.when(width == 32, "ipv4").otherwise("ipv6")
-    return (
-        F.when(digits.isNull(), F.lit("registered"))
-        .when(length == width, version)
-        .otherwise(F.concat(version, F.lit("range")))
-    )
-
-
-def _fill(digits: Column, length: Column, ones: bool) -> Column:
-    """``digits`` with all bits past ``length`` set to 0 or 1."""
+    def classify(net: Column) -> Column:
+        width = F.length(net["digits"]) * 4
+        version = F.when(width == 32, "ipv4").otherwise("ipv6")
+        return F.when(net.isNull(), F.lit("registered")).otherwise(
+            F.concat(version, F.when(net["length"] == width, "").otherwise("range")))
+
+    return let(network(name), classify)
+
+
+def _fill(net: Column, ones: bool) -> Column:
+    """The digits with all bits past the prefix set to 0 or 1."""
+    digits, length = net["digits"], net["length"]
     whole = F.floor(length / 4).cast("int")
-    bits = length % 4
-    kept = F.substring(digits, F.lit(1), whole)
     digit = F.conv(F.substring(digits, whole + 1, F.lit(1)), 16, 10).cast("int")
-    block = F.lit(16) / F.pow(F.lit(2), bits)
+    block = F.lit(16) / F.pow(F.lit(2), length % 4)
     low = F.floor(digit / block) * block
     edge = F.hex((low + block - 1 if ones else low).cast("bigint"))
-    partial = F.when((bits > 0), edge).otherwise(F.lit(""))
-    return F.rpad(F.concat(kept, partial), F.length(digits), "F" if ones else "0")
+    kept = F.concat(F.substring(digits, F.lit(1), whole),
+                    F.when(length % 4 > 0, edge).otherwise(F.lit("")))
+    return F.rpad(kept, F.length(digits), "F" if ones else "0")
 
 
 def network_start(name: Column) -> Column:
-    digits, length = network(name)
-    return _fill(digits, length, ones=False)
+    return let(network(name), lambda net: _fill(net, ones=False))
 
 
 def network_end(name: Column) -> Column:
-    digits, length = network(name)
-    return _fill(digits, length, ones=True)
+    return let(network(name), lambda net: _fill(net, ones=True))
 
 
 def strip_mark(key: Column) -> Column:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from changewatch.functions.ip import let
+
 
 def _digits() -> Column:
     return F.array(*[F.lit(d) for d in "0123456789ABCDEF"])
@@ -27,18 +29,30 @@ def _extend(text: Column, position: Column, keep) -> Column:
 
 def covering_prefixes(low: Column, high: Column) -> Column:
     """Array of prefixes that cover ``low..high``; both of one width and in this order."""
-    # past the last place where low has no 0 or high no F, both ends are full
-    kept = F.greatest(F.length(F.rtrim(low, F.lit("0"))), F.length(F.rtrim(high, F.lit("F"))))
-    lo, hi = F.left(low, kept), F.left(high, kept)
-    places = F.sequence(F.lit(1), F.greatest(kept, F.lit(1)))
-    split_at = F.try_element_at(
-        F.filter(places, lambda i: _digit(lo, i) != _digit(hi, i)), F.lit(1))
-    deeper = F.filter(places, lambda i: i > split_at)
-    middle = _extend(lo, split_at, lambda d: (d > _digit(lo, split_at)) & (d < _digit(hi, split_at)))
-    after_low = F.flatten(F.transform(deeper, lambda i: _extend(lo, i, lambda d: d > _digit(lo, i))))
-    before_high = F.flatten(F.transform(deeper, lambda i: _extend(hi, i, lambda d: d < _digit(hi, i))))
-    return F.when(split_at.isNull(), F.array(lo)) \
-        .otherwise(F.concat(F.array(lo, hi), middle, after_low, before_high))
+    def trim(ends: Column) -> Column:
+        # past the last place where low has no 0 or high no F, both ends are full
+        kept = F.greatest(F.length(F.rtrim(ends["lo"], F.lit("0"))),
+                          F.length(F.rtrim(ends["hi"], F.lit("F"))))
+        return let(kept, lambda n: F.struct(
+            F.left(ends["lo"], n).alias("lo"), F.left(ends["hi"], n).alias("hi"),
+            F.sequence(F.lit(1), F.greatest(n, F.lit(1))).alias("places")))
+
+    def split(ends: Column) -> Column:
+        lo, hi = ends["lo"], ends["hi"]
+        first = F.try_element_at(
+            F.filter(ends["places"], lambda i: _digit(lo, i) != _digit(hi, i)), F.lit(1))
+        return let(first, lambda at: F.when(at.isNull(), F.array(lo)).otherwise(pieces(ends, at)))
+
+    def pieces(ends: Column, at: Column) -> Column:
+        lo, hi = ends["lo"], ends["hi"]
+        deeper = F.filter(ends["places"], lambda i: i > at)
+        middle = _extend(lo, at, lambda d: (d > _digit(lo, at)) & (d < _digit(hi, at)))
+        after_low = F.transform(deeper, lambda i: _extend(lo, i, lambda d: d > _digit(lo, i)))
+        before_high = F.transform(deeper, lambda i: _extend(hi, i, lambda d: d < _digit(hi, i)))
+        return F.concat(F.array(lo, hi), middle, F.flatten(after_low), F.flatten(before_high))
+
+    ends = F.struct(low.alias("lo"), high.alias("hi"))
+    return let(ends, lambda e: let(trim(e), split))
 
 
 def range_pieces(ranges: DataFrame, low: str, high: str, measures: dict[str, Column]) -> DataFrame:

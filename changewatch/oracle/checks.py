@@ -34,7 +34,7 @@ ACTION = r"'^([a-z\-]+):(.*)'"
 PARAMS = r"'^([\d]+)\|([^\|]+)?[\|]?([^\|]+)?[\|]?([^\|]+)?'"
 PROPERTY = r"'^\[\[Property:(P\d+)\]\]: (.*)$'"
 
-_HEX4 = "list_aggregate(list_transform(string_split({0}, '.'), x -> printf('%02X', CAST(x AS INT))), 'string_agg', '')"
+_HEX4 = "list_aggregate(list_transform(string_split({0}, '.'), lambda x: printf('%02X', CAST(x AS INT))), 'string_agg', '')"
 _GROUPS = "CASE WHEN {0} = '' THEN [] ELSE string_split({0}, ':') END"
 
 
@@ -44,9 +44,9 @@ def _address_hex(name: str) -> str:
     return f"""CASE
         WHEN regexp_matches({name}, '^[0-9]+(\\.[0-9]+){{3}}$') THEN {_HEX4.format(name)}
         WHEN {name} LIKE '%::%' THEN upper(
-          coalesce(list_aggregate(list_transform({left_groups}, x -> lpad(x, 4, '0')), 'string_agg', ''), '')
+          coalesce(list_aggregate(list_transform({left_groups}, lambda x: lpad(x, 4, '0')), 'string_agg', ''), '')
           || repeat('0000', CAST(8 - len({left_groups}) - len({right_groups}) AS INT))
-          || coalesce(list_aggregate(list_transform({right_groups}, x -> lpad(x, 4, '0')), 'string_agg', ''), ''))
+          || coalesce(list_aggregate(list_transform({right_groups}, lambda x: lpad(x, 4, '0')), 'string_agg', ''), ''))
         END"""
 
 
@@ -535,7 +535,7 @@ _report("delay_histogram_by_language", ["progress"], """
         OR (bin_start + step = last AND delay_seconds = last * 3600)) GROUP BY 1, 2, 3""")
 _report("delay_percentiles_by_language", ["progress"], """
     SELECT language, CAST(unnest(range(0, 101)) AS INT) AS pct, round(unnest(q) / 3600.0::DOUBLE, 6) AS hours
-    FROM (SELECT language, quantile_cont(delay_seconds, list_transform(range(0, 101), x -> x / 100.0::DOUBLE)) AS q
+    FROM (SELECT language, quantile_cont(delay_seconds, list_transform(range(0, 101), lambda x: x / 100.0::DOUBLE)) AS q
           FROM progress WHERE language IS NOT NULL AND delay_seconds IS NOT NULL GROUP BY 1) p""")
 
 
