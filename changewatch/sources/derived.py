@@ -92,17 +92,18 @@ DERIVED: dict[str, tuple[list[str], str]] = {
         SELECT * FROM (VALUES (CAST(11 AS INT), 'mw-reverted'), (12, 'apps-suggested-edits'),
                               (13, 'visualeditor')) v(ctd_id, ctd_name)"""),
 
-    # models 1, 4 = damaging and 2 = goodfaith are current, 3 is an old one; some are missing
-    "score": (["ev"], """
-        SELECT 2000000000 + event_id AS oresc_rev, CAST(m AS INT) AS oresc_model,
-               CAST(1 AS INT) AS oresc_class,
-               CAST(CAST(CASE WHEN m = 2 THEN 1000 - p WHEN m = 3 THEN 500 ELSE p END AS DOUBLE)
-                    / 1000 AS DECIMAL(4, 3)) AS oresc_probability,
-               CAST(CASE WHEN p >= 500 THEN 1 ELSE 0 END AS INT) AS oresc_is_predicted
-        FROM (SELECT event_id, user_id, k,
-                     {div((user_id * 37) % 100 * 1000, 110)} + (k % 10) * 10 AS p FROM ev) a
-        CROSS JOIN (SELECT 1 AS m UNION ALL SELECT 2 UNION ALL SELECT 3) b
-        WHERE NOT (user_id % 10 = 2 AND event_id % 6 = 5) AND NOT (m = 2 AND k = 17)"""),
+    # models 1 = damaging and 2 = goodfaith are current, 3 is an old one; some scores are missing
+    "score_base": (["ev"], """
+        SELECT 2000000000 + event_id AS oresc_rev, k,
+               {div((user_id * 37) % 100 * 1000, 110)} + (k % 10) * 10 AS p
+        FROM ev WHERE NOT (user_id % 10 = 2 AND event_id % 6 = 5)"""),
+    "score": (["score_base"], """
+        SELECT oresc_rev, CAST(m AS INT) AS oresc_model, CAST(1 AS INT) AS oresc_class,
+               CAST(CAST(s AS DOUBLE) / 1000 AS DECIMAL(4, 3)) AS oresc_probability,
+               CAST(CASE WHEN s >= 500 THEN 1 ELSE 0 END AS INT) AS oresc_is_predicted
+        FROM (SELECT oresc_rev, 1 AS m, p AS s FROM score_base
+              UNION ALL SELECT oresc_rev, 2, 1000 - p FROM score_base WHERE k <> 17
+              UNION ALL SELECT oresc_rev, 3, 500 FROM score_base) x"""),
     "score_model": ([], """
         SELECT * FROM (VALUES (CAST(1 AS INT), 'damaging', CAST(1 AS INT)), (2, 'goodfaith', 1),
                               (3, 'damaging', 0)) v(oresm_id, oresm_name, oresm_is_current)"""),
