@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IPV4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
@@ -100,15 +100,11 @@ def network(name: Column) -> Column:
     return let(name, parse)
 
 
-def user_type(name: Column) -> Column:
-    """What a user name stands for: an address, a network of several addresses, or an account."""
-    def classify(net: Column) -> Column:
-        width = F.length(net["digits"]) * 4
-        version = F.when(width == 32, "ipv4").otherwise("ipv6")
-        return F.when(net.isNull(), F.lit("registered")).otherwise(
-            F.concat(version, F.when(net["length"] == width, "").otherwise("range")))
-
-    return let(network(name), classify)
+def _type_of(net: Column) -> Column:
+    width = F.length(net["digits"]) * 4
+    version = F.when(width == 32, "ipv4").otherwise("ipv6")
+    return F.when(net.isNull(), F.lit("registered")).otherwise(
+        F.concat(version, F.when(net["length"] == width, "").otherwise("range")))
 
 
 def _fill(net: Column, ones: bool) -> Column:
@@ -124,12 +120,19 @@ def _fill(net: Column, ones: bool) -> Column:
     return F.rpad(kept, F.length(digits), "F" if ones else "0")
 
 
-def network_start(name: Column) -> Column:
-    return let(network(name), lambda net: _fill(net, ones=False))
+def with_user_kind(df: DataFrame, name: str) -> DataFrame:
+    """Add what a user name stands for (``user_type``: an address, a network of several addresses or
+    an account) and, for the first two, the hex of its first and last address (``low``, ``high``)."""
+    kind = let(network(F.col(name)), lambda net: F.struct(
+        _type_of(net).alias("user_type"), _fill(net, ones=False).alias("low"),
+        _fill(net, ones=True).alias("high")))
+    # a generated row is parsed once; as a plain column every filter on it would repeat the parsing
+    return df.select("*", F.explode(F.array(kind)).alias("kind")).select(*df.columns, "kind.*")
 
 
-def network_end(name: Column) -> Column:
-    return let(network(name), lambda net: _fill(net, ones=True))
+def with_address_hex(df: DataFrame, name: str, column: str = "digits") -> DataFrame:
+    """Add the hex form of an address, computed once per row as above."""
+    return df.select("*", F.explode(F.array(address_hex(F.col(name)))).alias(column))
 
 
 def strip_mark(key: Column) -> Column:

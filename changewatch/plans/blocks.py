@@ -56,8 +56,7 @@ def range_block_counts(addresses: DataFrame, history: DataFrame, settings: Setti
     """(actor_name, range_blocks_all, range_blocks_1y): past range blocks that contain an address.
     A range that was blocked twice counts twice."""
     past = history.filter(F.col("user_type").isin(RANGE_TYPES)).select(
-        ip.network_start(F.col("user_name")).alias("low"),
-        ip.network_end(F.col("user_name")).alias("high"), is_recent(settings).alias("recent"))
+        "low", "high", is_recent(settings).alias("recent"))
     pieces = range_pieces(past, "low", "high", {
         "range_blocks_all": F.count(F.lit(1)), "range_blocks_1y": F.count_if("recent")})
     return match_ranges(addresses, "actor_name", "digits", pieces, {
@@ -87,8 +86,7 @@ def anonymous(changes: DataFrame, history: DataFrame, current: DataFrame, settin
     """
     range_column = "range_blocks_1y" if recent else "range_blocks_all"
     unregistered = _open_edits(changes, F.col("actor_user").isNull())
-    addresses = unregistered.select(
-        "actor_name", ip.address_hex(F.col("actor_name")).alias("digits"))
+    addresses = ip.with_address_hex(unregistered.select("actor_name"), "actor_name")
 
     own = _open_edits(changes).join(
         _block_counts(history, ADDRESS_TYPES, settings, recent),
@@ -110,8 +108,7 @@ def anonymous(changes: DataFrame, history: DataFrame, current: DataFrame, settin
     match = F.col("actor_name") == F.col("user_name")
     if compat:
         match = match & F.col("has_own")
-    listed_addresses = listed.select(
-        "actor_name", ip.address_hex(F.col("actor_name")).alias("digits"))
+    listed_addresses = ip.with_address_hex(listed.select("actor_name"), "actor_name")
     return (
         listed.join(direct, match, "left")
         .join(range_block_in_force(listed_addresses, current), "actor_name", "left")

@@ -129,14 +129,15 @@ def patrol_log(tables: Tables, since: Column | None = None) -> DataFrame:
 
 
 def block_history(tables: Tables) -> DataFrame:
-    """Past blocks: user name, time and what kind of user the name stands for."""
-    name = F.translate("log_title", "_", " ")
-    return (
+    """Past blocks: user name, time, what kind of user the name stands for, and the first and last
+    address of those that are addresses or networks."""
+    blocks = (
         tables["logging"]
         .filter((F.col("log_type") == "block") & (F.col("log_action") == "block"))
-        .select(name.alias("user_name"), parse_time(F.col("log_timestamp")).alias("time"))
-        .withColumn("user_type", ip.user_type(F.col("user_name")))
+        .select(F.translate("log_title", "_", " ").alias("user_name"),
+                parse_time(F.col("log_timestamp")).alias("time"))
     )
+    return ip.with_user_kind(blocks, "user_name")
 
 
 def current_blocks(tables: Tables) -> DataFrame:

@@ -72,9 +72,8 @@ def test_addresses_match_python(spark):
         names.append(f"{ipaddress.IPv4Address(rng.getrandbits(32))}/{rng.randint(0, 32)}")
         names.append(f"{ipaddress.IPv6Address(rng.getrandbits(128))}/{rng.randint(0, 128)}")
         names.append(str(ipaddress.IPv6Address(rng.getrandbits(16) << rng.choice([0, 32, 96]))))
-    df = spark.createDataFrame([(n,) for n in names], "name string").select(
-        "name", ip.user_type(F.col("name")).alias("type"),
-        ip.network_start(F.col("name")).alias("low"), ip.network_end(F.col("name")).alias("high"))
+    df = ip.with_user_kind(spark.createDataFrame([(n,) for n in names], "name string"), "name") \
+        .withColumnRenamed("user_type", "type")
     for row in df.collect():
         network = expected_network(row["name"])
         if network is None:
