@@ -62,7 +62,8 @@ def range_pieces(ranges: DataFrame, low: str, high: str, measures: dict[str, Col
         (F.length(low) == F.length(high)) & (F.col(low) <= F.col(high)))
     pieces = usable.withColumns({
         "width": F.length(low),
-        "piece": F.explode(covering_prefixes(F.col(low), F.col(high)))})
+        # outer, as an inner one makes Spark repeat the expression in a filter; none is empty
+        "piece": F.explode_outer(covering_prefixes(F.col(low), F.col(high)))})
     return pieces.groupBy("width", "piece").agg(
         *[column.alias(name) for name, column in measures.items()])
 
