@@ -43,7 +43,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
         FROM ev"""),
 
     # user ids: two fifths are addresses, one IPv4, one IPv6; nine reviewers on top
-    "actor": (["ev"], """
+    "named": (["ev"], """
         SELECT user_id + 1 AS actor_id,
                CASE WHEN user_id % 5 < 2 THEN NULL ELSE user_id + 1000 END AS actor_user,
                CASE WHEN user_id % 5 = 0 THEN '10.' || CAST(user_id % 4 AS STRING) || '.'
@@ -52,7 +52,9 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                     WHEN user_id % 5 = 1 THEN '2001:db8:' || CAST(user_id % 10000 AS STRING) || ':'
                          || CAST({div(user_id, 10000)} % 10000 AS STRING) || '::1'
                     ELSE 'User ' || CAST(user_id AS STRING) END AS actor_name
-        FROM (SELECT DISTINCT user_id FROM ev UNION SELECT DISTINCT editor FROM ev) u
+        FROM (SELECT DISTINCT user_id FROM ev) u"""),
+    "actor": (["named", "ev"], """
+        SELECT actor_id, actor_user, actor_name FROM named
         UNION ALL
         SELECT DISTINCT 9000000000 + k % 9, CAST(5000 + k % 9 AS BIGINT),
                'Patroller ' || CAST(k % 9 AS STRING)
@@ -109,7 +111,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                               (3, 'damaging', 0)) v(oresm_id, oresm_name, oresm_is_current)"""),
 
     # patrol entries with a delay of k * k minutes, some without a revision; blocks; other entries
-    "logging": (["ev", "actor"], """
+    "logging": (["ev", "named"], """
         SELECT event_id AS log_id, 'patrol' AS log_type, 'patrol' AS log_action,
                CAST(CASE WHEN k % 12 = 11 THEN 4 ELSE 0 END AS INT) AS log_namespace,
                {stamp_after(ts, k)} AS log_timestamp,
@@ -123,20 +125,20 @@ DERIVED: dict[str, tuple[list[str], str]] = {
         SELECT 3000000000 + actor_id, 'block', 'block', CAST(2 AS INT),
                CAST(20220601000000 + ((actor_id - 1) % 28) * 1000000 AS STRING),
                replace(actor_name, ' ', '_'), '', 9000000000
-        FROM actor WHERE actor_id < 9000000000 AND (actor_id - 1) % 3 = 0
+        FROM named WHERE (actor_id - 1) % 3 = 0
         UNION ALL
         SELECT 4000000000 + actor_id, 'block',
                CASE WHEN actor_id % 2 = 1 THEN 'block' ELSE 'unblock' END, CAST(2 AS INT),
                CAST(20231101000000 + ((actor_id - 1) % 28) * 1000000 AS STRING),
                replace(actor_name, ' ', '_'), '', 9000000001
-        FROM actor WHERE actor_id < 9000000000 AND (actor_id - 1) % 6 = 0
+        FROM named WHERE (actor_id - 1) % 6 = 0
         UNION ALL
         SELECT 5000000000 + actor_id, 'block', 'block', CAST(2 AS INT),
                CAST(20221101000000 + ((actor_id - 1) % 28) * 1000000 + ((actor_id - 1) % 3) * 10000000000 AS STRING),
                actor_name || CASE WHEN (actor_id - 1) % 5 = 0 THEN '/24'
                                   WHEN (actor_id - 1) % 4 = 1 THEN '/51' ELSE '/64' END,
                '', 9000000002
-        FROM actor WHERE actor_id < 9000000000 AND (actor_id - 1) % 15 IN (0, 6)
+        FROM named WHERE (actor_id - 1) % 15 IN (0, 6)
         UNION ALL
         SELECT * FROM (VALUES
             (5900000001, 'block', 'block', CAST(2 AS INT), '20230701000000', '10.1.0.0/16', '', 9000000003),
@@ -147,7 +149,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
             (5900000006, 'delete', 'delete', 0, '20230901000000', 'Q7', '', 9000000003))
             v(log_id, log_type, log_action, log_namespace, log_timestamp, log_title, log_params, log_actor)"""),
 
-    "block_target": (["actor"], """
+    "block_target": (["named"], """
         SELECT actor_id AS bt_id,
                CASE WHEN actor_user IS NULL THEN actor_name END AS bt_address,
                actor_user AS bt_user,
@@ -163,7 +165,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                     WHEN u % 5 = 1 THEN 'v6-20010DB8' || lpad(CAST(u % 10000 AS STRING), 4, '0')
                          || lpad(CAST({div(u, 10000)} % 10000 AS STRING), 4, '0')
                          || repeat('0', 15) || '1' END AS bt_range_end
-        FROM (SELECT *, actor_id - 1 AS u FROM actor WHERE actor_id < 9000000000) a WHERE u % 4 = 0
+        FROM (SELECT *, actor_id - 1 AS u FROM named) a WHERE u % 4 = 0
         UNION ALL
         SELECT * FROM (VALUES
             (9100000001, '10.1.0.0/16', CAST(NULL AS BIGINT), CAST(NULL AS STRING), CAST(0 AS INT),

@@ -145,15 +145,17 @@ def current_blocks(tables: Tables) -> DataFrame:
     blocks = tables["block"].join(
         tables["block_target"].filter(F.col("bt_auto") == 0), F.col("bl_target") == F.col("bt_id"))
 
-    def part(condition: Column, name: str) -> DataFrame:
-        return blocks.filter(condition).select(
-            F.col(name).alias("user_name"),
-            F.when(F.col("bl_expiry") == "infinity", "infinity").otherwise("temporary")
-            .alias("is_blocked"),
-            F.col("bt_range_start").alias("range_start"), F.col("bt_range_end").alias("range_end"))
-
-    return part(F.col("bt_user").isNull(), "bt_address").unionByName(
-        part(F.col("bt_address").isNull(), "bt_user_text"))
+    def named(condition: Column, name: str) -> Column:
+        return F.when(condition, F.struct(F.col(name).alias("user_name")))
+
+    # a block of an address and one of an account are told apart in one pass
+    names = F.array_compact(F.array(named(F.col("bt_user").isNull(), "bt_address"),
+                                    named(F.col("bt_address").isNull(), "bt_user_text")))
+    return blocks.select(
+        F.inline(names),
+        F.when(F.col("bl_expiry") == "infinity", "infinity").otherwise("temporary")
+        .alias("is_blocked"),
+        F.col("bt_range_start").alias("range_start"), F.col("bt_range_end").alias("range_end"))
 
 
 def translation_pages(tables: Tables) -> DataFrame:
