@@ -6,18 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changewatch.llm import tokens
+from changewatch.llm import packing, pieces, tokens
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(table(spark, folder, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_packing": op5_packing,
     "op8_token_counts": op8_token_counts,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 SQL: dict[str, str] = {}
