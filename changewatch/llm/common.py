@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -31,6 +34,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once for an application; they need not have it installed."""
+    package = Path(__file__).resolve().parents[1]
+    application = spark.sparkContext.applicationId
+    if application in _shipped or not package.is_dir():
+        return
+    handle, name = tempfile.mkstemp(prefix=f"{package.name}-", suffix=".zip")
+    with os.fdopen(handle, "wb") as file, zipfile.ZipFile(file, "w") as archive:
+        for module in sorted(package.rglob("*.py")):
+            archive.write(module, module.relative_to(package.parent))
+    spark.sparkContext.addPyFile(name)
+    _shipped.add(application)
+
+
+def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with the package at the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def text_of(column: str) -> Column:
     """A text column, null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from changewatch.llm.common import slices, text_of, written
+from changewatch.llm.common import mapped, slices, text_of, written
 
 Layout = list[tuple[list[int], int]]
 
@@ -123,7 +123,7 @@ def pieces(docs: DataFrame, size: int = 4096, end_id: int = 2, tokenizer: str |
 
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
+    return mapped(rows, cut, f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                 "place long, part long")
 
 
@@ -210,5 +210,5 @@ def pack(docs: DataFrame, size: int = 4096, end_id: int = 2, tokenizer: str | No
                 ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     kind = ranked.schema["key"].dataType.simpleString()
-    return ranked.mapInArrow(place, f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
+    return mapped(ranked, place, f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                     "sequence_id long, offset long").withColumnRenamed("key", key)

@@ -16,7 +16,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer, decoders, models, normalizers
 
-from changewatch.llm.common import slices, text_of
+from changewatch.llm.common import mapped, slices, text_of
 
 MARK = "▁"
 # Fixed values of the format: field numbers of the model file, kinds of piece, kinds of model.
@@ -202,7 +202,7 @@ def encode(docs: DataFrame, model: str | None = None, key: str = "doc_id", text:
 
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, ids array<int>, parity boolean").withColumnRenamed("key", key)
+    return mapped(rows, run, f"key {kind}, ids array<int>, parity boolean").withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, model: str | None = None, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -219,7 +219,7 @@ def decode(encoded: DataFrame, model: str | None = None, key: str = "doc_id", id
 
     rows = encoded.select(F.col(key).alias("key"), F.col(ids).cast("array<int>").alias("ids"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, text string").withColumnRenamed("key", key)
+    return mapped(rows, run, f"key {kind}, text string").withColumnRenamed("key", key)
 
 
 def round_trip(docs: DataFrame, model: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,5 +243,5 @@ def round_trip(docs: DataFrame, model: str | None = None, key: str = "doc_id", t
 
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, n_bytes long, n_tokens long, ids_crc32 long, parity boolean, "
+    return mapped(rows, run, f"key {kind}, n_bytes long, n_tokens long, ids_crc32 long, parity boolean, "
                                 "decoded boolean").withColumnRenamed("key", key)

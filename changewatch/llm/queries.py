@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changewatch.llm import packing, pieces, tokens
+from changewatch.llm import chat, packing, pages, pieces, tokens
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = chat.with_foreign_reply(table(spark, folder, "conversations"))
+    return pairs.select("conv_id", "n_turns", "common_turns", "prompt", "chosen", "rejected",
+                        chat.spans_text("chosen_spans").alias("chosen_mask"),
+                        chat.spans_text("rejected_spans").alias("rejected_mask"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -21,13 +28,21 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(table(spark, folder, "documents"))
 
 
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_preferences": op2_preferences,
     "op5_packing": op5_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_main_text": op9_main_text,
     "op10_sentencepiece": op10_sentencepiece,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_preferences": chat.SQL,
+}

@@ -10,7 +10,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from changewatch.llm.common import slices, text_of
+from changewatch.llm.common import mapped, slices, text_of
 
 MARK = "▁"
 
@@ -96,5 +96,5 @@ def count_tokens(docs: DataFrame, model: str | None = None, key: str = "doc_id",
 
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return (rows.mapInArrow(counts, f"key {kind}, n_bytes long, n_tokens long")
+    return (mapped(rows, counts, f"key {kind}, n_bytes long, n_tokens long")
             .select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
