@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changewatch.llm import chat, packing, pages, pieces, tokens
+from changewatch.llm import chat, packing, pages, pieces, simhash, tokens
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(table(spark, folder, "documents"))
 
@@ -39,6 +43,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_preferences": op2_preferences,
     "op5_packing": op5_packing,
+    "op6_simhash": op6_simhash,
     "op8_token_counts": op8_token_counts,
     "op9_main_text": op9_main_text,
     "op10_sentencepiece": op10_sentencepiece,
