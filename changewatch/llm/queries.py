@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changewatch.llm import chat, packing, pages, pieces, repeats, simhash, tokens
+from changewatch.llm import chat, minhash, packing, pages, pieces, repeats, simhash, tokens
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.digests(repeats.spans(table(spark, folder, "documents")))
 
 
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.with_edits(table(spark, folder, "documents"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -47,6 +51,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_preferences": op2_preferences,
     "op3_repeats": op3_repeats,
+    "op4_fingerprints": op4_fingerprints,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
     "op8_token_counts": op8_token_counts,
