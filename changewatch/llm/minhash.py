@@ -37,7 +37,8 @@ def fingerprint(text: Column) -> Column:
 
     Each shingle is hashed once; the high bits are its bin. Sorted hashes stand bin by bin, smallest first. An empty bin
     takes the value of a filled one: each bin has a random order of all bins, by a hash of the pair, and takes the first that is
-    filled, which needs no shifts and treats all filled bins alike (optimal densification)."""
+    filled, which needs no shifts and treats all filled bins alike (optimal densification). The kept bits are of the value
+    hashed with the bin, so that bins that share a value don't agree by chance all at once."""
 
     def minima(hashes: Column) -> Column:
         return let(F.sort_array(hashes), lambda own: F.filter(
@@ -50,8 +51,8 @@ def fingerprint(text: Column) -> Column:
     def packed(own: Column) -> Column:
         return let(F.transform(own, bin_of), lambda bins: F.array_join(F.transform(
             F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")), lambda i: let(
-                F.array_position(bins, i), lambda at: F.lpad(F.hex(F.get(own, F.when(at > 0, at).otherwise(donor(bins, i))
-                                                                         .cast("int") - 1).bitwiseAND((1 << BITS) - 1)), 2, "0"))), ""))
+                F.array_position(bins, i), lambda at: F.lpad(F.hex(F.xxhash64(F.get(own, F.when(
+                    at > 0, at).otherwise(donor(bins, i)).cast("int") - 1), i).bitwiseAND((1 << BITS) - 1)), 2, "0"))), ""))
 
     return let(minima(shingle_hashes(text)), packed)
 
