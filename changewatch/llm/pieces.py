@@ -124,13 +124,8 @@ class Backend:
         self.cut = None if whole or self.strips or not self.prefix or normaliser.get(CHAR_MAP) else re.compile(" *[^ ]+| +$")
         self.mark = vocabulary.get(MARK, unknown)
         self.most = units
-        self.known: dict[str, int] = {}
-        self.clear()
-
-    def clear(self) -> None:
-        self.known = {}
-        self.ids: list[bytes] = []  # little-endian 32-bit
-        self.same: list[bool] = []
+        self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit numbers
+        self.apart: set[str] = set()  # units whose ids are not those of the original library
 
     def units(self, text: str) -> list[str]:
         """The units of a text without the space that the prefix stands for."""
@@ -138,33 +133,31 @@ class Backend:
             return []
         if self.cut is None:
             return [text]
-        return [unit[1:] for unit in self.cut.findall(" " + text.replace(MARK, " "))]
+        text = text.replace(MARK, " ")
+        if "  " not in text and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
+        return [unit[1:] for unit in self.cut.findall(" " + text)]
 
     def learn(self, units: set[str]) -> None:
         fresh = [unit for unit in units if unit not in self.known]
-        if not fresh:
-            return
         ours = [struct.pack(f"<{len(e.ids)}i", *e.ids) for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
         theirs = self.library.encode(fresh, return_type="numpy", num_threads=1)
         for unit, own, other in zip(fresh, ours, theirs):
             if not unit:  # a lone space at the end: the mark itself
                 own, other = struct.pack("<i", self.mark), np.array([self.mark], "<i4")
-            self.known[unit] = len(self.ids)
-            self.ids.append(own)
-            self.same.append(own == other.astype("<i4").tobytes())
+            self.known[unit] = own
+            if own != other.astype("<i4").tobytes():
+                self.apart.add(unit)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
         """The ids of each text and whether all its units have the original library's ids."""
         cut = [self.units(text) for text in texts]
         if len(self.known) > self.most:
-            self.clear()
+            self.known, self.apart = {}, set()
         self.learn(set().union(*cut))
-        found = []
-        for units in cut:
-            numbers = [self.known[unit] for unit in units]
-            ids = np.frombuffer(b"".join([self.ids[i] for i in numbers]), "<i4")
-            found.append((ids, all([self.same[i] for i in numbers])))
-        return found
+        known = self.known
+        return [(np.frombuffer(b"".join([known[unit] for unit in units]), "<i4"),
+                 not self.apart or self.apart.isdisjoint(units)) for units in cut]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.tokenizer.decode_batch([own.tolist() for own in ids], skip_special_tokens=False)

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changewatch.llm import chat, minhash, packing, pages, pieces, repeats, simhash, tokens
+from changewatch.llm import chat, minhash, packing, pages, pieces, repeats, simhash, tokens, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.whole_numbers(table(spark, folder, "embeddings"))
+    return topk.search(vectors, vectors.where(F.col("id") % 50 == 0))
+
+
 def op2_preferences(spark: SparkSession, folder: str) -> DataFrame:
     pairs = chat.with_foreign_reply(table(spark, folder, "conversations"))
     return pairs.select("conv_id", "n_turns", "common_turns", "prompt", "chosen", "rejected",
@@ -49,6 +54,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
     "op2_preferences": op2_preferences,
     "op3_repeats": op3_repeats,
     "op4_fingerprints": op4_fingerprints,
@@ -59,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 SQL: dict[str, str] = {
+    "op1_topk": topk.SQL,
     "op2_preferences": chat.SQL,
 }

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 from changewatch.llm.common import mapped, ship, text_of, total_bytes, written
 
 LAST = np.iinfo(np.int64).max  # stands for a null id
-CHUNK, BUCKET = 8 << 20, 64 << 20  # bytes of text behind a chunk and a bucket of anchors
+CHUNK, BUCKET = 4 << 20, 32 << 20  # bytes of text behind a chunk and a bucket of anchors
+FINE = 16  # parts of a bucket that are put in suffix order one after the other
 SEGMENT = 1 << 18
 MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 COPIES, ANCHORS, SPANS = 0, 1, 2
@@ -119,6 +120,25 @@ def earlier_copies(data: np.ndarray, windows: np.ndarray, documents: np.ndarray,
     return later
 
 
+def later_runs(data: np.ndarray, at: np.ndarray, begins: np.ndarray, lengths: np.ndarray, documents: np.ndarray, size: int
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the pieces ``at``, which stand at ``begins`` in ``data``: piece, start and end in it of every run of bytes covered by
+    passages that also start in a smaller document."""
+    own = np.empty(lengths.sum() + 8, np.uint8)
+    starts = np.cumsum(lengths) - lengths
+    own[:-8] = data[np.repeat(begins - starts, lengths) + np.arange(lengths.sum())]
+    own = own[:-8]
+    count = lengths - size + 1
+    windows = np.repeat(starts - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    piece = np.repeat(np.arange(len(at)), count)
+    later = earlier_copies(own, windows, documents[piece], size)
+    heads = np.flatnonzero(np.append(True, (later[1:] != later[:-1]) | (piece[1:] != piece[:-1]))[:len(later)])
+    tails = np.append(heads[1:], len(later))
+    heads, tails = heads[later[heads]], tails[later[heads]]
+    owner = piece[heads]
+    return at[owner], windows[heads] - starts[owner], windows[tails - 1] - starts[owner] + size
+
+
 class Chunk:
     """The documents of a chunk in the order of id and text, and what is known of them: exact copies of smaller documents,
     shared anchors, spans to remove (number of the document here, start, end)."""
@@ -240,7 +260,7 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
         at[at == len(shared)] = 0
         keep = shared[at, 0] == signed(anchors) if len(shared) else np.zeros(len(anchors), bool)
         anchors, document, start, count, many = (x[keep] for x in (anchors, document, start, count, shared[at, 1] if len(shared) else anchors))
-        bucket = (anchors % np.uint64(buckets)).astype(np.int64)
+        bucket = (anchors % np.uint64(buckets * FINE)).astype(np.int64)
         singles = np.flatnonzero(many == 1)
         if len(singles):  # hot anchors: every passage on its own, dealt by its own hash
             inner = np.concatenate([np.arange(s, s + n) for s, n in zip(start[singles], count[singles])])
@@ -249,39 +269,44 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
             rest = many != 1
             document = np.append(document[rest], np.repeat(document[singles], count[singles]))
             start, count = np.append(start[rest], inner), np.append(count[rest], np.ones(len(inner), np.int64))
-            bucket = np.append(bucket[rest], (own_hash % np.uint64(buckets)).astype(np.int64))
+            bucket = np.append(bucket[rest], (own_hash % np.uint64(buckets * FINE)).astype(np.int64))
+        bucket, fine = np.divmod(bucket, FINE)
         ids = chunk.ids
-        order = np.lexsort((start, document, bucket))
+        order = np.lexsort((start, document, fine, bucket))
         begins = np.append(0, ends)[document]
         raw = data.tobytes()
         first: dict[bytes, list] = {}
         local: list[int] = []
         rows, last = [], None
         contents: list[bytes] = []
+        parts: list[int] = []
         uses: list[int] = []
 
         def flush() -> None:
             if contents:
-                rows.append((last, number, b"".join(contents), np.array([len(c) for c in contents], np.int32), np.array(uses, np.int64)))
+                rows.append((last, number, b"".join(contents), np.array([len(c) for c in contents], np.int32),
+                             np.array(parts, np.int8), np.array(uses, np.int64)))
 
-        for b, at, d, s, n, begin in zip(*(x[order].tolist() for x in (bucket, document, ids[document], start, count, begins))):
+        for b, f, at, d, s, n, begin in zip(
+                *(x[order].tolist() for x in (bucket, fine, document, ids[document], start, count, begins))):
             if b != last:
                 flush()
-                last, contents, uses, first = b, [], [], {}
+                last, contents, parts, uses, first = b, [], [], [], {}
             piece = raw[s:s + n + size - 1]
             seen = first.get(piece)
             if seen is None:
                 first[piece] = seen = [d, len(contents)]
                 contents.append(piece)
+                parts.append(f)
             if seen[0] == d:
                 uses += (seen[1], d, at, s - begin)
             else:
                 local += (at, s - begin, s - begin + n + size - 1)
         flush()
         if local:
-            rows.append((-1 - number, number, b"", [], np.array(local, np.int64)))
-        return tables(rows, ["bucket", "chunk", "contents", "lengths", "uses"],
-                      [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())])
+            rows.append((-1 - number, number, b"", [], [], np.array(local, np.int64)))
+        return tables(rows, ["bucket", "chunk", "contents", "lengths", "parts", "uses"],
+                      [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int8()), pa.list_(pa.int64())])
 
     def find_copies(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
@@ -290,9 +315,10 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
         if bucket < 0:
             return tables([(int(chunk[0]), SPANS, uses.flatten().to_numpy())], note_names,
                           [pa.int64(), pa.int32(), pa.list_(pa.int64())])
-        lengths = own.column("lengths").combine_chunks()
+        lengths, contents = own.column("lengths").combine_chunks(), own.column("contents").to_pylist()
+        part_of = own.column("parts").combine_chunks().flatten().to_numpy()
         pieces = lengths.flatten().to_numpy().astype(np.int64)
-        data = np.frombuffer(b"".join([*own.column("contents").to_pylist(), bytes(8)]), np.uint8)[:-8]
+        data = np.frombuffer(b"".join(contents), np.uint8)
         begins = np.cumsum(pieces) - pieces
         per_row, uses_per_row = lengths.value_lengths().to_numpy(), uses.value_lengths().to_numpy() // 4
         use_chunk = np.repeat(chunk, uses_per_row)
@@ -300,17 +326,11 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
         which = which + np.repeat(np.cumsum(per_row) - per_row, uses_per_row)
         piece_document = np.empty(len(pieces), np.int64)
         piece_document[which] = ident
-        count = pieces - size + 1
-        windows = np.repeat(begins - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        later = earlier_copies(data, windows, np.repeat(piece_document, count), size)
-        # runs of later copies inside each piece
-        piece = np.repeat(np.arange(len(pieces)), count)
-        edge = np.append(True, (later[1:] != later[:-1]) | (piece[1:] != piece[:-1]))
-        heads = np.flatnonzero(edge)
-        tails = np.append(heads[1:], len(later))
-        heads, tails = heads[later[heads]], tails[later[heads]]
-        owner = piece[heads]
-        low, high = windows[heads] - begins[owner], windows[tails - 1] - begins[owner] + size
+        spans_of = [later_runs(data, at, begins[at], pieces[at], piece_document[at], size)
+                    for at in (np.flatnonzero(part_of == part) for part in range(FINE))]
+        owner, low, high = (np.concatenate(column) for column in zip(*spans_of))
+        order = np.argsort(owner, kind="stable")
+        owner, low, high = owner[order], low[order], high[order]
         # every use of the piece gets them
         first, last = np.searchsorted(owner, which, side="left"), np.searchsorted(owner, which, side="right")
         times = last - first
@@ -348,7 +368,7 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
         name_anchors, "bucket long, chunk long, anchors array<bigint>, counts array<int>")
     shared = anchors.groupBy("bucket").applyInArrow(find_shared, note)
     sent = by(named).cogroup(by(shared.union(copies))).applyInArrow(
-        send_runs, "bucket long, chunk long, contents binary, lengths array<int>, uses array<bigint>")
+        send_runs, "bucket long, chunk long, contents binary, lengths array<int>, parts array<tinyint>, uses array<bigint>")
     found = sent.groupBy("bucket").applyInArrow(find_copies, note)
     kind = named.schema["key"].dataType.simpleString()
     return by(named).cogroup(by(found.union(copies))).applyInArrow(
