@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changewatch.llm import chat, minhash, packing, pages, pieces, repeats, simhash, tokens, topk
+from changewatch.llm import chat, minhash, packing, pages, pieces, quality, repeats, simhash, tokens, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", F.col("model").alias("lang"), "n_bytes", "perplexity", "excess", "threshold", "keep")
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(table(spark, folder, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op9_main_text": op9_main_text,
     "op10_sentencepiece": op10_sentencepiece,

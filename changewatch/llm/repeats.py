@@ -185,8 +185,10 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "text", hot: int = 2000) -> DataFrame:
-    """Per row: key, text (null as empty) and removed, an array of (start, end) of maximal removed runs in bytes.
+def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "text", hot: int = 2000,
+          carry: list[str] | None = None) -> DataFrame:
+    """Per row: key, text (null as empty), removed, an array of (start, end) of maximal removed runs in bytes, and the columns
+    named in ``carry``.
 
     Judged on the input; ids that are equal are not smaller; a null id counts as larger than all others and as equal to other nulls.
     Texts shorter than ``size`` lose nothing. Repeated rows have one id and keep their text alike. Other columns are not looked
@@ -200,8 +202,11 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
     chunks, buckets = max(least, -(-total // CHUNK)), max(least, -(-total // BUCKET))
 
     ident = F.coalesce(F.col("key").cast("long"), F.lit(int(LAST)))
-    named = docs.select(F.col(key).alias("key"), text_of(text).alias("text")).select(
-        "key", ident.alias("id"), "text", F.pmod(F.xxhash64(ident, F.when(F.col("key").isNull(), F.col("text"))), F.lit(chunks))
+    carry = carry or []
+    carried = [f"c{i}" for i in range(len(carry))]
+    named = docs.select(F.col(key).alias("key"), text_of(text).alias("text"),
+                        *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]).select(
+        "key", ident.alias("id"), "text", *carried, F.pmod(F.xxhash64(ident, F.when(F.col("key").isNull(), F.col("text"))), F.lit(chunks))
         .alias("chunk"))
     digests = named.select("id", "chunk", F.unhex(F.sha2("text", 256)).alias("digest"))
     firsts = digests.groupBy("digest").agg(F.min("id").alias("first"))
@@ -359,7 +364,8 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
             removed[i] = merged
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         own = own.take(pa.array(chunk.order, pa.int64()))
-        return pa.table([own.column("key"), own.column("text"), pa.array(removed, span)], ["key", "text", "removed"])
+        return pa.table([own.column("key"), own.column("text"), pa.array(removed, span), *map(own.column, carried)],
+                        ["key", "text", "removed", *carried])
 
     def by(df: DataFrame):
         return df.groupBy("chunk")
@@ -370,9 +376,11 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
     sent = by(named).cogroup(by(shared.union(copies))).applyInArrow(
         send_runs, "bucket long, chunk long, contents binary, lengths array<int>, parts array<tinyint>, uses array<bigint>")
     found = sent.groupBy("bucket").applyInArrow(find_copies, note)
-    kind = named.schema["key"].dataType.simpleString()
-    return by(named).cogroup(by(found.union(copies))).applyInArrow(
-        join_spans, f"key {kind}, text string, removed array<struct<start:bigint,end:bigint>>").withColumnRenamed("key", key)
+    kinds = {name: named.schema[name].dataType.simpleString() for name in ("key", *carried)}
+    others = "".join(f", {name} {kinds[name]}" for name in carried)
+    cut = by(named).cogroup(by(found.union(copies))).applyInArrow(
+        join_spans, f"key {kinds['key']}, text string, removed array<struct<start:bigint,end:bigint>>{others}")
+    return cut.select(F.col("key").alias(key), "text", "removed", *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
 
 
 def cut_bytes(text: str | bytes, removed: list) -> bytes:
@@ -399,6 +407,29 @@ def cut_text(text: str, removed: list) -> str:
     return b"".join([*parts, data[at:]]).decode()
 
 
+def shortened(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
+    """All columns of documents with the texts shortened and, if there is such a column, their length in characters. Only whole
+    characters are taken out; a text may end up empty, its row stays."""
+    others = [c for c in docs.columns if c not in (key, text)]
+    found = spans(docs, size, key, text, carry=others).withColumnRenamed(key, "key")
+    columns = ["key", "text", "removed", *[f"c{i}" for i in range(len(others))]]
+    found = found.toDF(*columns)
+
+    def run(batches):
+        for batch in batches:
+            pairs = zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist())
+            cut = [cut_text(own, removed) if removed else own for own, removed in pairs]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cut, pa.string()) if name == "text" else batch.column(name) for name in columns if name != "removed"],
+                [name for name in columns if name != "removed"])
+
+    schema = ", ".join(f"{name} {found.schema[name].dataType.simpleString()}" for name in columns if name != "removed")
+    cut = mapped(found, run, schema).toDF(key, text, *others)
+    if length in others:
+        cut = cut.withColumn(length, F.length(text).cast(cut.schema[length].dataType))
+    return cut.select(*docs.columns)
+
+
 def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per row of ``spans``: key, n_bytes, n_removed, n_spans and kept_sha256, of the bytes that stay."""
 

@@ -129,3 +129,108 @@ def near_duplicates(docs: DataFrame, radius: int = 2, size: int = 3, key: str =
     members = written(rooted.join(ids, "root").select("fingerprint", "component_id"), "members")
     return marked.join(members, "fingerprint").select(
         key, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+SHINGLE = 5
+#: Shingles in a passage on average, and the sizes of texts in shingles that are cut so. A similarity of 0.8 is one of sizes too, so
+#: near-duplicates have a cut in common.
+CUTS = ((8, 0, 600), (24, 480, 1 << 62))
+SHARED = 0.2  # of a document's passages that a candidate shares at least
+
+
+def passages(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of the passages of a text under each of CUTS that its size falls under."""
+    size = len(set(hashes.tolist()))
+    return np.unique(np.concatenate([cut_up(hashes, mean) for mean, least, most in CUTS if least <= size <= most]))
+
+
+def cut_up(hashes: np.ndarray, mean: int) -> np.ndarray:
+    """SimHash of every passage of a text: its shingles from one whose hash is a multiple of ``mean`` to the next, so that an edit
+    changes the passages that it touches and no others."""
+    if not len(hashes):
+        return np.zeros(1, np.int64)
+    heads = np.flatnonzero(hashes % np.uint64(mean) == 0)
+    heads = heads if len(heads) and heads[0] == 0 else np.append(0, heads)
+    sizes = np.diff(np.append(heads, len(hashes)))
+    found = []
+    step = 1 << 10
+    for at in range(0, len(heads), step):
+        own = heads[at:at + step]
+        end = heads[at + len(own)] if at + len(own) < len(heads) else len(hashes)
+        bits = np.unpackbits(np.ascontiguousarray(hashes[own[0]:end].astype("<u8")).view(np.uint8).reshape(-1, 8), axis=1,
+                             bitorder="little")
+        counts = np.add.reduceat(bits, own - own[0], axis=0, dtype=np.int64)
+        most = 2 * counts > sizes[at:at + len(own), None]
+        found.append(np.packbits(most, axis=1, bitorder="little").view("<i8")[:, 0])
+    return np.concatenate(found)
+
+
+def similar_groups(docs: DataFrame, similarity: float = 0.8, radius: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, group: the smallest key of the near-duplicates of each document that has any, over chains of pairs whose Jaccard
+    similarity of five-word shingles is at least ``similarity``.
+
+    Documents with equal sets of shingles are one. The others are looked up under the covering masks of their fingerprint, so that
+    any two within ``radius`` bits meet, and under the fingerprints of their passages, as a similarity of 0.8 flips far more bits
+    of a whole text: it leaves at most 0.11 of the shingles changed, 2.2 words in a hundred, which leave
+    enough passages whole. In each bucket a document is paired with the smallest and the largest one, two pairs a row however large the bucket; pairs by
+    passages must share a fifth of them. Each pair is then compared exactly. Null keys have no group; null texts are
+    empty; rows with one key are one document if their texts are alike."""
+    masks = [as_signed(mask) for mask in covering_masks(radius)]
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in slices(batches, "text", 1 << 22):
+            digests, keys, sizes = [], [], []
+            for value in texts:
+                hashes = shingle_hashes(value, SHINGLE)
+                digests.append(xxhash.xxh3_128_digest(np.unique(hashes).tobytes()))
+                own = simhash(hashes)
+                covered = [xxhash.xxh64_intdigest(f"{i} {own & mask}") >> 1 for i, mask in enumerate(masks)]
+                whole = passages(hashes)
+                sizes.append(len(whole))
+                keys.append([*((1 << 62) | number >> 1 for number in covered), *(number >> 2 for number in whole.tolist())])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("key"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["key", "digest", "passages", "buckets"])
+
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
+    marked = written(mapped(rows, mark, "key long, digest binary, passages long, buckets array<bigint>"), "marks")
+    firsts = written(marked.groupBy("digest").agg(F.min("key").alias("first")), "firsts")
+    equal = written(marked.select("key", "digest").join(firsts, "digest").select("key", "first").distinct(), "equal")
+    alone = marked.join(firsts.where("first IS NOT NULL"), "digest").where(F.col("key") == F.col("first"))
+    listed = written(alone.select("key", "passages", F.explode(F.array_distinct("buckets")).alias("bucket")).distinct(), "listed")
+    ends = written(listed.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high"), "ends")
+    met = listed.join(ends, "bucket").select("key", "passages", F.col("bucket").bitwiseAND(1 << 62).alias("covered"),
+                                             F.explode(F.array("low", "high")).alias("other")).where("key <> other")
+    pairs = met.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"), "covered", "passages", "key").groupBy(
+        "a", "b", "key").agg(F.max(F.col("covered") > 0).alias("near"), F.count(F.lit(1)).alias("n"), F.max("passages").alias("m"))
+    pairs = written(pairs.where(F.col("near") | (F.col("n") >= SHARED * F.col("m"))).select("a", "b").distinct(), "pairs")
+    asked = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    wanted = rows.join(asked, "key", "left_semi")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, texts in slices(batches, "text", 1 << 22):
+            found = [np.unique(shingle_hashes(value, SHINGLE)).astype("<u8").tobytes() for value in texts]
+            yield pa.RecordBatch.from_arrays([own.column("key"), pa.array(found, pa.binary())], ["key", "shingles"])
+
+    shingles = written(mapped(wanted, sets, "key long, shingles binary").dropDuplicates(["key"]), "shingles")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                left, right = (np.frombuffer(side.as_buffer(), "<u8") for side in (x, y))
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                keep.append(both >= similarity * (len(left) + len(right) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    sides = pairs.join(shingles.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(
+        shingles.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    linked = mapped(sides, compare, "a long, b long").union(equal.where("key <> first"))
+    return components(linked).select(F.col("node").alias(key), F.col("root").alias("group"))
+
+
+def one_of_each(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents without those that have a near-duplicate with a smaller key in their group. Rows with null keys stay, rows that
+    share a key stay or go together."""
+    later = similar_groups(docs, similarity, key=key, text=text).where(F.col(key) > F.col("group")).select(key)
+    return docs.join(written(later, "later"), key, "left_anti").select(*docs.columns)
