@@ -59,12 +59,13 @@ def fingerprint(text: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated Jaccard similarity of the shingles of two texts, from their fingerprints. Bins that differ agree in their
-    kept bits once in 2**BITS times; that is taken off."""
+    kept bits once in 2**BITS times; that is taken off. Null if one is null."""
     digits = BITS // 4
     same = F.size(F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.substring(a, i * digits + 1, F.lit(digits))
                            == F.substring(b, i * digits + 1, F.lit(digits))))
     chance = 2.0 ** -BITS
-    return F.greatest(F.lit(0.0), (same / BINS - chance) / (1 - chance))
+    estimate = F.greatest(F.lit(0.0), (same / BINS - chance) / (1 - chance))
+    return F.when(a.isNotNull() & b.isNotNull(), estimate)
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

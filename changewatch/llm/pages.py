@@ -69,9 +69,10 @@ def is_boilerplate(name: str, attributes: str, inside: bool) -> bool:
 
 
 def events(page: str) -> list[tuple[str, str, str]]:
-    """The page in order: ("text", context, text) and ("tag", name, "block" or ""). Each character is looked at a bounded number of
-    times. Contexts: "zone" in boilerplate, "outside" where the page has an article and this is not it, else "main" in an
-    article or "plain", with "-link" in links. Unclosed elements end with the element around them."""
+    """The page in order: ("text", context, text) and ("tag", name, what it does to text: "block", "space" or ""). Each character is
+    looked at a bounded number of times. Contexts: "outside" where the page has an article and this is not it, else "main" in an article
+    or "plain", with "-link" in links. Elements that are no part of an article are left out, with a "gap" for each of their
+    tags. Unclosed elements end with the element around them."""
     found: list[tuple[str, str, str]] = []
     stack: list[tuple[str, bool]] = []
     zones = content = links = at = 0
@@ -94,9 +95,11 @@ def events(page: str) -> list[tuple[str, str, str]]:
                 return
 
     def text(upto: int) -> None:
+        if zones:
+            return
         if upto > at and (own := page[at:upto].strip()):
-            context = "zone" if zones else "main" if content else "outside" if has_content else "plain"
-            found.append(("text", context + "-link" * bool(links and not zones), own))
+            context = "main" if content else "outside" if has_content else "plain"
+            found.append(("text", context + "-link" * bool(links), own))
         elif upto > at:
             found.append(("text", "space", " "))
 
@@ -123,7 +126,8 @@ def events(page: str) -> list[tuple[str, str, str]]:
         if event.re is EVENT and event.group(2) is None:
             continue
         closing, name, attributes = event.group(1), event.group(2).lower(), event.group(3)
-        found.append(("tag", name, "" if name in INLINE and name != "br" else "space" if name in ("br", "td", "th") else "block"))
+        what = "" if name in INLINE and name != "br" else "space" if name in ("br", "td", "th") else "block"
+        found.append(("tag", name, "gap" if zones and what else what))
         if closing:
             close(name)
         elif name in RAW:
@@ -149,8 +153,7 @@ def events(page: str) -> list[tuple[str, str, str]]:
 
 
 def fit(labelled: list[str]) -> dict[str, float]:
-    """Log odds of each kind of word, and of each tag, to be in the main text. Tags never score above -0.01, nor
-    words outside boilerplate and links below 0.1 where most of their kind were main text."""
+    """Log odds of each kind of word, and of each tag, to be in the main text. Tags never score above -0.01."""
     inside: Counter[str] = Counter()
     outside: Counter[str] = Counter()
     for page in labelled:
@@ -186,8 +189,7 @@ def best_region(found: list[tuple[str, str, str]], weights: dict[str, float]) ->
     best, sums, start, region = 0.0, 0.0, 0, (0, 0)
     for i, (kind, name, value) in enumerate(found):
         if kind == "tag":
-            score = weights.get("<" + name, -0.01)
-            score = score if value == "block" else 0.1 * score
+            score = weights.get("<" + name, -0.01) * {"block": 1, "gap": 0}.get(value, 0.1)
         elif name == "space":
             continue
         else:
@@ -202,15 +204,14 @@ def best_region(found: list[tuple[str, str, str]], weights: dict[str, float]) ->
 
 
 def main_text(page: str) -> str:
-    """The blocks of the best region, boilerplate inside it left out, joined by line feeds."""
+    """The blocks of the best region, joined by line feeds."""
     found = events(page)
     first, last = best_region(found, fitted())
     blocks: list[list[str]] = [[]]
     for kind, name, value in found[first:last]:
         if kind == "text":
-            if name != "zone":
-                blocks[-1].append(value)
-        elif value == "block":
+            blocks[-1].append(value)
+        elif value in ("block", "gap"):
             blocks.append([])
         elif value == "space":
             blocks[-1].append(" ")
