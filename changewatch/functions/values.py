@@ -25,13 +25,23 @@ def time_literal(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def stamp_literal(value: datetime) -> Column:
+    return F.lit(value.strftime("%Y%m%d%H%M%S"))
+
+
 def item_number(title: Column) -> Column:
     """``Q42`` to 42; null when the rest is not a number."""
     return F.substring(title, F.lit(2), F.length(title)).try_cast("bigint")
 
 
+def epoch_seconds(time: Column) -> Column:
+    """Seconds from 1970 of a zone-free timestamp, from its parts: the session zone has no say."""
+    days = F.unix_date(F.to_date(time)).cast("bigint")
+    return days * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+
+
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end)
+    return epoch_seconds(end) - epoch_seconds(start)
 
 
 def round_half_even(value: Column, digits: int) -> Column:

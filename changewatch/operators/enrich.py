@@ -27,7 +27,7 @@ def changes(tables: Tables) -> DataFrame:
     df = queries.main_namespace_changes(tables)
     df = df.join(queries.change_flags(tables), "rc_id", "left")
     df = df.join(queries.revision_scores(tables),
-                 F.col("rc_this_oldid") == F.col("oresc_rev"), "left").drop("oresc_rev")
+                 queries.revision_key() == F.col("oresc_rev"), "left").drop("oresc_rev")
     df = queries.with_comment(queries.with_editor(df, tables), tables)
     return with_summary(df).withColumns({
         "reverted": F.coalesce("reverted", F.lit(False)),
@@ -44,7 +44,7 @@ def patrol_progress(changes: DataFrame, log: DataFrame) -> DataFrame:
     delay = seconds_between(F.col("time"), F.col("log_time"))
     return (
         terms.join(log.filter(F.col("rc_curid").isNotNull()),
-                   F.col("rc_this_oldid") == F.col("rc_curid"), "left")
+                   queries.revision_key() == F.col("rc_curid"), "left")
         .select(*terms.columns, "log_id", "patroller", "log_time",
                 delay.alias("delay_seconds"), (delay / 3600.0).alias("delay_hours"))
     )

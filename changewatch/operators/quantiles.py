@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+def value_counts(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, v, n): how often each whole number occurs."""
+    return (
+        df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+        .groupBy(key, F.col(value).cast("bigint").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def exact_percentiles(df: DataFrame, key: str, value: str, percents: Column,
                       bucket: int = 3600) -> DataFrame:
     """(key, pct, value): percentiles with linear interpolation between neighbours.
 
-    ``percents`` is an array of whole numbers 0..100. Values are counted first. The rank of a value
+    ``percents`` is an array of whole numbers 0..100. Values are counted first; a value then gives a
+    row for each percentile that it is a neighbour of, and none for the others. The rank of a value
     is the number of rows in lower buckets plus that of lower values in its bucket, so no task sorts
     a whole key: one window runs over the bucket totals of a key, one over the at most ``bucket``
     distinct values of a bucket.
     """
-    counted = (
-        df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
-        .groupBy(key, F.col(value).cast("bigint").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", F.floor(F.col("v") / float(bucket)))
-    )
+    counted = value_counts(df, key, value).withColumn("bucket", F.floor(F.col("v") / float(bucket)))
     before = F.coalesce(
         F.sum("n").over(Window.partitionBy(key).orderBy("bucket")
                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -36,20 +41,21 @@ def exact_percentiles(df: DataFrame, key: str, value: str, percents: Column,
         .withColumn("end", F.col("first") + F.col("n"))
     )
     # the p-th percentile sits at rank p * (rows - 1) / 100, between two whole ranks
-    scaled = F.col("pct") * (F.col("rows") - 1)
-    below = F.floor(scaled / 100.0)
-    above = F.ceil(scaled / 100.0)
+    def scaled(pct: Column) -> Column:
+        return pct * (F.col("rows") - 1)
+
+    def below(pct: Column) -> Column:
+        return (F.col("first") * 100 <= scaled(pct)) & (scaled(pct) < F.col("end") * 100)
 
-    def here(rank: Column) -> Column:
-        return (rank >= F.col("first")) & (rank < F.col("end"))
+    def above(pct: Column) -> Column:
+        return ((F.col("first") - 1) * 100 < scaled(pct)) & (scaled(pct) <= (F.col("end") - 1) * 100)
 
-    low = F.max(F.when(here(F.col("below")), F.col("v")))
-    high = F.max(F.when(here(F.col("above")), F.col("v")))
+    low = F.max(F.when(below(F.col("pct")), F.col("v")))
+    high = F.max(F.when(above(F.col("pct")), F.col("v")))
     share = F.pmod(F.col("scaled"), F.lit(100)) / 100.0
     return (
-        ranked.withColumn("pct", F.explode(percents))
-        .withColumns({"scaled": scaled, "below": below, "above": above})
-        .filter(here(F.col("below")) | here(F.col("above")))
+        ranked.withColumn("pct", F.explode(F.filter(percents, lambda pct: below(pct) | above(pct))))
+        .withColumn("scaled", scaled(F.col("pct")))
         .groupBy(key, "pct", "scaled").agg(low.alias("low"), high.alias("high"))
         .select(key, "pct", (F.col("low") + share * (F.col("high") - F.col("low"))).alias("value"))
     )

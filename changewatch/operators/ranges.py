@@ -68,21 +68,22 @@ def range_pieces(ranges: DataFrame, low: str, high: str, measures: dict[str, Col
         *[column.alias(name) for name, column in measures.items()])
 
 
-def match_ranges(addresses: DataFrame, key: str, hex_column: str, pieces: DataFrame,
-                 measures: dict[str, Column]) -> DataFrame:
-    """(key, measures) for the addresses that some piece contains. ``measures`` are aggregates over
-    the pieces that contain the address.
-
-    An address is repeated once for each prefix length in use. Those lengths are at most 9 for IPv4
-    and 33 for IPv6, so their table has two rows and is broadcast; the pieces are not.
+def match_ranges(addresses: DataFrame, key: str | list[str], hex_column: str, pieces: DataFrame,
+                 measures: dict[str, Column], keep: bool = False) -> DataFrame:
+    """(key columns, measures) for the addresses that some piece contains, or with ``keep`` for all of them,
+    with measures of no rows where none does. ``measures`` are aggregates over the pieces that contain
+    the address.
+
+    An address is repeated once for each length that a prefix can have, 9 for IPv4 and 33 for IPv6, so
+    the pieces are read once. Key columns travel with it, so that nothing is joined back.
     """
-    lengths = pieces.groupBy("width").agg(F.collect_set(F.length("piece")).alias("lengths"))
+    keys = [key] if isinstance(key, str) else key
+    width = F.length(hex_column)
     parts = (
         addresses.filter(F.col(hex_column).isNotNull())
-        .select(key, F.col(hex_column).alias("digits"), F.length(hex_column).alias("width"))
-        .join(F.broadcast(lengths), "width")
-        .select(key, "digits", "width", F.explode("lengths").alias("length"))
-        .select(key, "width", F.left("digits", F.col("length")).alias("piece"))
+        .select(*keys, F.col(hex_column).alias("digits"), width.alias("width"),
+                F.explode(F.sequence(F.lit(0), width)).alias("length"))
+        .select(*keys, "width", F.left("digits", F.col("length")).alias("piece"))
     )
-    return parts.join(pieces, ["width", "piece"]).groupBy(key).agg(
+    return parts.join(pieces, ["width", "piece"], "left" if keep else "inner").groupBy(*keys).agg(
         *[column.alias(name) for name, column in measures.items()])

@@ -29,6 +29,7 @@ OTHER = _list(actions_of(*OTHER_CATEGORIES))
 TERM_CATEGORIES = "('label', 'description', 'alias', 'anyterms')"
 FAMILIES = " ".join(f"WHEN action IN {_list(names)} THEN '{category}'"
                     for category, names in ACTIONS.items())
+# Patterns of the summary format.
 MARKER = r"'^/\* (.+?) \*/ ?(.*)?'"
 ACTION = r"'^([a-z\-]+):(.*)'"
 PARAMS = r"'^([\d]+)\|([^\|]+)?[\|]?([^\|]+)?[\|]?([^\|]+)?'"
@@ -80,11 +81,12 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                                    THEN regexp_extract(comment_text, {MARKER}, 2) END AS free
                     FROM comment) a) b"""),
     "scoped": (["recentchanges"], "SELECT * FROM recentchanges WHERE rc_patrolled IN (0, 1)"),
-    "flags": (["change_tag", "change_tag_def"], """
+    "flags": (["change_tag", "change_tag_def", "scoped"], """
         SELECT ct_rc_id AS rc_id, bool_or(ctd_name = 'mw-reverted') AS reverted,
                bool_or(ctd_name = 'apps-suggested-edits') AS suggested_edit
         FROM change_tag JOIN change_tag_def ON ct_tag_id = ctd_id
-        WHERE ctd_name IN ('mw-reverted', 'apps-suggested-edits') GROUP BY 1"""),
+        WHERE ctd_name IN ('mw-reverted', 'apps-suggested-edits')
+          AND ct_rc_id IN (SELECT rc_id FROM scoped WHERE rc_namespace = 0) GROUP BY 1"""),
     "damaging": (["score", "score_model"], """
         SELECT oresc_rev, CAST(arg_max(oresc_probability, oresm_id) AS DOUBLE) AS p
         FROM score JOIN score_model ON oresc_model = oresm_id
@@ -114,7 +116,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         LEFT JOIN change_tag_def ON ct_tag_id = ctd_id WHERE rc_namespace = 0"""),
     "patrols": (["logging", "actor", "changes"], """
         SELECT log_id, log_timestamp, strptime(log_timestamp, '%Y%m%d%H%M%S') AS log_time,
-               TRY_CAST(nullif(regexp_extract(log_params, 's:8:"4::curid";s:10:"(\\d+)";?', 1), '') AS BIGINT) AS rc_curid,
+               TRY_CAST(nullif(regexp_extract(split_part(log_params, '"4::curid";', 2), '^[si]:([0-9]+:")?([0-9]+)', 2), '') AS BIGINT) AS rc_curid,
                actor_name AS patroller
         FROM logging JOIN actor ON log_actor = actor_id
         WHERE log_type = 'patrol' AND log_action = 'patrol' AND log_namespace = 0
@@ -169,7 +171,9 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                CAST(s.object AS BIGINT) AS statements, CAST(i.object AS BIGINT) AS identifiers,
                CAST(k.object AS BIGINT) AS sitelinks,
                (SELECT count(DISTINCT b.subject) FROM triples b
-                WHERE b.object = s.subject AND b.predicate NOT IN ('about', 'sameAs')) AS backlinks
+                WHERE b.object = s.subject AND b.predicate NOT IN ('about', 'sameAs', 'statements', 'identifiers',
+                                                                    'sitelinks', 'propertyType')
+                  AND b.predicate NOT LIKE 'label@%') AS backlinks
         FROM triples s
         JOIN triples i ON i.subject = s.subject AND i.predicate = 'identifiers'
         JOIN triples k ON k.subject = s.subject AND k.predicate = 'sitelinks'

@@ -20,12 +20,9 @@ def is_recent(settings: Settings) -> Column:
         settings.as_of - timedelta(days=settings.block_age_days))
 
 
-def _open_edits(changes: DataFrame, condition: Column | None = None) -> DataFrame:
+def _open_edits(changes: DataFrame) -> DataFrame:
     """Open changes by editor: one row per editor from here on, so later joins are not skewed."""
-    rows = changes.filter("rc_patrolled = 0")
-    if condition is not None:
-        rows = rows.filter(condition)
-    return rows.groupBy("actor_name").agg(F.count(F.lit(1)).alias("edits"))
+    return changes.filter("rc_patrolled = 0").groupBy("actor_name").agg(F.count(F.lit(1)).alias("edits"))
 
 
 def _block_counts(history: DataFrame, types: list[str], settings: Settings,
@@ -52,29 +49,37 @@ def registered(changes: DataFrame, history: DataFrame, current: DataFrame, setti
     )
 
 
-def range_block_counts(addresses: DataFrame, history: DataFrame, settings: Settings) -> DataFrame:
-    """(actor_name, range_blocks_all, range_blocks_1y): past range blocks that contain an address.
-    A range that was blocked twice counts twice."""
-    past = history.filter(F.col("user_type").isin(RANGE_TYPES)).select(
-        "low", "high", is_recent(settings).alias("recent"))
-    pieces = range_pieces(past, "low", "high", {
-        "range_blocks_all": F.count(F.lit(1)), "range_blocks_1y": F.count_if("recent")})
-    return match_ranges(addresses, "actor_name", "digits", pieces, {
-        name: F.sum(name) for name in ("range_blocks_all", "range_blocks_1y")})
+def _past_ranges(history: DataFrame, settings: Settings) -> DataFrame:
+    """Ranges of past blocks, one row each. A range that was blocked twice counts twice."""
+    past = history.filter(F.col("user_type").isin(RANGE_TYPES))
+    return past.select("low", "high", F.lit(True).alias("past"), is_recent(settings).alias("recent"),
+                       F.lit(None).cast("boolean").alias("infinite"))
 
 
-def range_block_in_force(addresses: DataFrame, current: DataFrame) -> DataFrame:
-    """(actor_name, is_range_blocked): infinity if any range in force that contains the address
-    never ends, else temporary."""
-    ranges = current.filter(F.col("range_start") < F.col("range_end")).select(
+def _ranges_in_force(current: DataFrame) -> DataFrame:
+    """Ranges that are blocked now, and whether the block never ends."""
+    return current.filter(F.col("range_start") < F.col("range_end")).select(
         ip.strip_mark(F.col("range_start")).alias("low"),
-        ip.strip_mark(F.col("range_end")).alias("high"),
-        (F.col("is_blocked") == "infinity").alias("infinite"))
-    pieces = range_pieces(ranges, "low", "high", {"infinite": F.bool_or("infinite")})
-    matched = match_ranges(addresses, "actor_name", "digits", pieces,
-                           {"infinite": F.bool_or("infinite")})
-    return matched.select("actor_name", F.when(F.col("infinite"), "infinity")
-                          .otherwise("temporary").alias("is_range_blocked"))
+        ip.strip_mark(F.col("range_end")).alias("high"), F.lit(False).alias("past"),
+        F.lit(False).alias("recent"), (F.col("is_blocked") == "infinity").alias("infinite"))
+
+
+def with_range_blocks(editors: DataFrame, history: DataFrame, current: DataFrame,
+                      settings: Settings) -> DataFrame:
+    """Editors with an address, its columns ``digits`` exchanged for range_blocks_all, range_blocks_1y (past range blocks
+    that contain the address) and is_range_blocked: infinity if any such range in force never ends,
+    temporary if there is another. Past and present ranges are matched in one go."""
+    ranges = _past_ranges(history, settings).union(_ranges_in_force(current))
+    pieces = range_pieces(ranges, "low", "high", {
+        "range_blocks_all": F.count_if("past"), "range_blocks_1y": F.count_if("recent"),
+        "infinite": F.bool_or("infinite")})
+    columns = [c for c in editors.columns if c != "digits"]
+    matched = match_ranges(editors, columns, "digits", pieces, {
+        "range_blocks_all": F.coalesce(F.sum("range_blocks_all"), F.lit(0)),
+        "range_blocks_1y": F.coalesce(F.sum("range_blocks_1y"), F.lit(0)),
+        "infinite": F.bool_or("infinite")}, keep=True)
+    in_force = F.when(F.col("infinite"), "infinity").when(F.col("infinite").isNotNull(), "temporary")
+    return matched.withColumn("is_range_blocked", in_force).drop("infinite")
 
 
 def anonymous(changes: DataFrame, history: DataFrame, current: DataFrame, settings: Settings,
@@ -82,40 +87,32 @@ def anonymous(changes: DataFrame, history: DataFrame, current: DataFrame, settin
     """Addresses that were blocked themselves or lie in a range that was (in the last year if
     ``recent``): open changes, own blocks of all time, range blocks and what is in force now.
 
-    ``compat``: an address that is listed for a range only gets no block of its own in force.
+    Changes are read once: one row per editor holds all its open changes and those made without an
+    account; ranges count for the latter. ``compat``: an address that is listed for a range only gets
+    no block of its own in force.
     """
     range_column = "range_blocks_1y" if recent else "range_blocks_all"
-    unregistered = _open_edits(changes, F.col("actor_user").isNull())
-    addresses = ip.with_address_hex(unregistered.select("actor_name"), "actor_name")
-
-    own = _open_edits(changes).join(
-        _block_counts(history, ADDRESS_TYPES, settings, recent),
-        F.col("actor_name") == F.col("user_name")) \
-        .select("actor_name", F.col("edits").alias("own_edits"), "block_cnt")
-    in_range = unregistered.join(
-        range_block_counts(addresses, history, settings).filter(F.col(range_column) > 0),
-        "actor_name").select("actor_name", "edits", range_column)
-
-    listed = own.join(in_range, "actor_name", "full_outer").select(
-        "actor_name",
-        F.greatest("own_edits", "edits").alias("edits"),
-        F.col("block_cnt").isNotNull().alias("has_own"),
-        F.coalesce("block_cnt", F.lit(0)).alias("block_cnt"),
-        F.coalesce(range_column, F.lit(0)).alias(range_column))
-
+    editors = changes.filter("rc_patrolled = 0").groupBy("actor_name").agg(
+        F.count(F.lit(1)).alias("all_edits"), F.count_if(F.col("actor_user").isNull()).alias("anon_edits"))
+    editors = ip.with_address_hex(editors, "actor_name").filter(F.col("digits").isNotNull())
+    own = _block_counts(history, ADDRESS_TYPES, settings, recent)
     direct = current.filter(F.col("range_start") == F.col("range_end")) \
-        .select(F.col("user_name"), "is_blocked")
-    match = F.col("actor_name") == F.col("user_name")
-    if compat:
-        match = match & F.col("has_own")
-    listed_addresses = ip.with_address_hex(listed.select("actor_name"), "actor_name")
-    return (
-        listed.join(direct, match, "left")
-        .join(range_block_in_force(listed_addresses, current), "actor_name", "left")
-        .select("actor_name", "edits", "block_cnt", range_column,
-                (F.col("block_cnt") + F.col(range_column)).alias("total_blocks"),
-                "is_blocked", "is_range_blocked")
+        .select(F.col("user_name").alias("direct_name"), "is_blocked")
+    has_own = F.col("block_cnt").isNotNull()
+    in_ranges = F.when(F.col("anon_edits") > 0, F.col(range_column)).otherwise(0)
+    listed = (
+        with_range_blocks(editors, history, current, settings)
+        .join(own, F.col("actor_name") == F.col("user_name"), "left")
+        .withColumn(range_column, in_ranges).filter(has_own | (F.col(range_column) > 0))
     )
+    match = F.col("actor_name") == F.col("direct_name")
+    if compat:
+        match = match & has_own
+    return listed.join(direct, match, "left").select(
+        "actor_name", F.when(has_own, F.col("all_edits")).otherwise(F.col("anon_edits")).alias("edits"),
+        F.coalesce("block_cnt", F.lit(0)).alias("block_cnt"), range_column,
+        (F.coalesce("block_cnt", F.lit(0)) + F.col(range_column)).alias("total_blocks"),
+        "is_blocked", "is_range_blocked")
 
 
 def address_order(name: str = "actor_name") -> list[Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Predicates of the triples table.
 PREDICATE_STATEMENTS = "statements"
@@ -11,6 +11,13 @@ PREDICATE_SITELINKS = "sitelinks"
 PREDICATE_TYPE = "propertyType"
 PREDICATE_LABEL = "label@"
 NO_BACKLINK = ["about", "sameAs"]
+#: Predicates whose objects are texts and numbers, as are those of labels.
+LITERALS = [PREDICATE_STATEMENTS, PREDICATE_IDENTIFIERS, PREDICATE_SITELINKS, PREDICATE_TYPE]
+
+
+def _is_link() -> Column:
+    predicate = F.col("predicate")
+    return ~predicate.isin(NO_BACKLINK + LITERALS) & ~predicate.startswith(PREDICATE_LABEL)
 
 
 def _attributes(triples: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -24,7 +31,7 @@ def item_facts(triples: DataFrame, items: DataFrame, language: str = "en") -> Da
     """Label, sizes and number of distinct subjects that point to each of ``items`` (column
     ``item``). Items without one of the sizes are left out; the label falls back to the id.
 
-    The triples are cut to the asked-for items before anything is grouped. Backlinks are counted
+    The triples are cut to the asked-for items before anything is grouped, and literals are no links. Backlinks are counted
     distinct by (item, subject) first, so an item with very many does not gather in one task.
     """
     items = items.select("item").distinct()
@@ -34,7 +41,7 @@ def item_facts(triples: DataFrame, items: DataFrame, language: str = "en") -> Da
     own = _attributes(
         triples.join(items, F.col("subject") == F.col("item"), "left_semi"), names)
     backlinks = (
-        triples.filter(~F.col("predicate").isin(NO_BACKLINK))
+        triples.filter(_is_link())
         .join(items, F.col("object") == F.col("item"), "left_semi")
         .groupBy(F.col("object").alias("subject")).agg(F.count_distinct("subject").alias("backlinks"))
     )
@@ -61,11 +68,9 @@ def property_facts(triples: DataFrame, language: str = "en") -> DataFrame:
 def deletion_request_items(changes: DataFrame, links: DataFrame, triples: DataFrame) -> DataFrame:
     """Changed items that a deletion request links: share of reviewed changes, number of changes and
     the item's facts."""
-    linked = (
-        changes.join(links, F.col("rc_title") == F.col("title"), "left_semi")
-        .groupBy("rc_title")
-        .agg((F.sum("rc_patrolled") / F.count("rc_patrolled")).alias("reviewed_share"),
-             F.count(F.lit(1)).alias("changes"))
-    )
+    counted = changes.groupBy("rc_title").agg(
+        (F.sum("rc_patrolled") / F.count("rc_patrolled")).alias("reviewed_share"),
+        F.count(F.lit(1)).alias("changes"))
+    linked = counted.join(links, F.col("rc_title") == F.col("title"), "left_semi")
     facts = item_facts(triples, links.select(F.col("title").alias("item")))
     return linked.join(facts, F.col("rc_title") == F.col("item")).drop("item")

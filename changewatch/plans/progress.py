@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from changewatch.operators.histograms import delay_histogram
-from changewatch.operators.quantiles import exact_percentiles
+from changewatch.operators.quantiles import exact_percentiles, value_counts
 
 
 def patrollers(progress: DataFrame) -> DataFrame:
@@ -20,12 +20,21 @@ def unpatrolled(progress: DataFrame) -> DataFrame:
 
 
 def describe(progress: DataFrame) -> DataFrame:
-    """Count, mean, sample deviation, smallest, quartiles and largest of the delay in seconds."""
+    """Count, mean, sample deviation, smallest, quartiles and largest of the delay in seconds.
+
+    Moments are exact sums over the counted values that the quartiles start from, so they don't depend
+    on the order of the rows. A language without delays has a count of 0."""
     rows = progress.filter(F.col("language").isNotNull())
-    delay = F.col("delay_seconds")
-    moments = rows.groupBy("language").agg(
-        F.count(delay).alias("count"), F.avg(delay).alias("mean"), F.stddev_samp(delay).alias("std"),
-        F.min(delay).cast("double").alias("min"), F.max(delay).cast("double").alias("max"))
+    n, v = F.col("n"), F.col("v").cast("decimal(20,0)")
+    sums = value_counts(rows, "language", "delay_seconds").groupBy("language").agg(
+        F.sum("n").alias("count"), F.sum(v * n).alias("total"),
+        F.sum((v * v).cast("decimal(25,0)") * n.cast("decimal(12,0)")).alias("squares"),
+        F.min("v").cast("double").alias("min"), F.max("v").cast("double").alias("max"))
+    count, total = F.col("count").cast("double"), F.col("total").cast("double")
+    spread = F.col("squares") * F.col("count") - F.col("total") * F.col("total")
+    moments = rows.select("language").distinct().join(sums, "language", "left").select(
+        "language", F.coalesce("count", F.lit(0)).alias("count"), (total / count).alias("mean"),
+        F.when(F.col("count") > 1, F.sqrt(spread.cast("double") / count / (count - 1))).alias("std"), "min", "max")
     quartiles = exact_percentiles(
         rows, "language", "delay_seconds", F.array(F.lit(25), F.lit(50), F.lit(75)))
     wide = quartiles.groupBy("language").agg(*[

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from changewatch.config import Settings
-from changewatch.functions.values import editor_name, status_name, time_literal
+from changewatch.functions.values import editor_name, stamp_literal, status_name, time_literal
 from changewatch.operators.counts import counts_by
 
 
 def in_window(settings: Settings) -> Column:
-    """The last whole days before today."""
-    return (F.col("time") >= time_literal(settings.window_start)) \
+    """The last whole days before today. The bound on the text of the time says the same, and reaches
+    the scan."""
+    stamp = F.col("rc_timestamp")
+    return (stamp >= stamp_literal(settings.window_start)) & (stamp < stamp_literal(settings.today)) \
+        & (F.col("time") >= time_literal(settings.window_start)) \
         & (F.col("time") < time_literal(settings.today))
 
 
@@ -59,10 +62,11 @@ def categories_by_date(changes: DataFrame, settings: Settings) -> DataFrame:
 
 
 def reverted_by_date(changes: DataFrame, settings: Settings) -> DataFrame:
-    """Dates of the window with reverted changes: their number next to that of all changes."""
+    """Dates of the window with reverted changes: their number next to that of all changes. The window
+    is made of whole days, so all changes of its dates lie in it."""
     return (
-        changes.filter(F.col("time").isNotNull()).groupBy(F.to_date("time").alias("date"))
-        .agg(F.count_if(F.col("reverted") & in_window(settings)).alias("reverted"),
+        changes.filter(in_window(settings)).groupBy(F.to_date("time").alias("date"))
+        .agg(F.count_if("reverted").alias("reverted"),
              F.count(F.lit(1)).alias("changes"))
         .filter(F.col("reverted") > 0)
     )

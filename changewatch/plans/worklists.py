@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from changewatch.config import Settings
 from changewatch.functions.actions import NO_CATEGORY
-from changewatch.functions.values import percent, time_literal
+from changewatch.functions.values import percent, stamp_literal, time_literal
 
 OPEN = "rc_patrolled = 0"
 SPANS = ["today", "3d", "7d", "14d", "all", "suggested-edit"]
@@ -132,6 +132,7 @@ def progress_totals(changes: DataFrame, log: DataFrame) -> DataFrame:
     counts = changes.agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("rc_patrolled") == 1)
         .alias("reviewed_status")).withColumn("patrolled", entries)
+    # fixed values: this sentence and the next one
     return _progress(
         counts,
         "Currently %d out of %d revisions are patrolled (%s%%); %d revisions are not yet patrolled",
@@ -140,7 +141,8 @@ def progress_totals(changes: DataFrame, log: DataFrame) -> DataFrame:
 
 def progress_today(changes: DataFrame, settings: Settings) -> DataFrame:
     """One row: reviewed among today's changes. No percentage when there is none."""
-    counts = changes.filter(spans(settings)["today"]).agg(
+    today = spans(settings)["today"] & (F.col("rc_timestamp") >= stamp_literal(settings.today))
+    counts = changes.filter(today).agg(
         F.count_if(F.col("rc_patrolled") == 1).alias("patrolled"),
         F.count(F.lit(1)).alias("total"))
     return _progress(

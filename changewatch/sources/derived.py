@@ -1,7 +1,8 @@
 """Source tables derived from the ``events`` test table.
 
 Each table is one SQL text that Spark and DuckDB both run after a few function names are filled in,
-so a report and its SQL check start from the same rows. All tables grow with ``events``.
+so a report and its SQL check start from the same rows. Tables of changes, editors, entries and
+blocks grow with ``events``; there are at most 397 items, eight languages and nine reviewers.
 """
 
 from __future__ import annotations
@@ -12,13 +13,16 @@ from changewatch.sources.readers import Tables
 
 # name -> (tables it reads, SQL). ``{..}`` marks what differs between the two engines.
 DERIVED: dict[str, tuple[list[str], str]] = {
-    # k is 0..99; a third of the rows has one hot language, one a hot editor, one a hot item
+    # k is 0..99; a third of the rows has one hot language, one a hot editor, one a hot item; revisions
+    # have 9, 10 and 11 digits
     "ev": ([], """
         SELECT event_id, ts, user_id, event_type, value, k,
                CASE WHEN k % 3 = 0 THEN 'en'
                     ELSE substring('deenfresitrunlpt', CAST(1 + 2 * (user_id % 8) AS INT), 2) END AS lang,
                CASE WHEN k % 3 = 1 THEN 4 ELSE user_id END AS editor,
-               CASE WHEN k % 3 = 2 THEN 78 ELSE (event_id * 7919) % 397 END AS n
+               CASE WHEN k % 3 = 2 THEN 78 ELSE (event_id * 7919) % 397 END AS n,
+               CASE k % 10 WHEN 3 THEN 100000000 + event_id WHEN 7 THEN 20000000000 + event_id
+                    ELSE 2000000000 + event_id END AS rev
         FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM {events}) e"""),
 
     # up to 397 titles; k % 12 = 11 goes to five side namespaces; status 0, 1, 2
@@ -38,7 +42,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                CAST(1000 + k + CAST(floor(value) AS INT) - 100 AS INT) AS rc_new_len,
                CAST(CASE WHEN event_type = 'signup' THEN NULL ELSE 1000 + k END AS INT)
                    AS rc_old_len,
-               CASE WHEN k = 23 THEN 0 ELSE 2000000000 + event_id END AS rc_this_oldid,
+               CASE WHEN k = 25 THEN 0 ELSE rev END AS rc_this_oldid,
                editor + 1 AS rc_actor, event_id + 1 AS rc_comment_id
         FROM ev"""),
 
@@ -96,7 +100,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
 
     # models 1 = damaging and 2 = goodfaith are current, 3 is an old one; some scores are missing
     "score_base": (["ev"], """
-        SELECT 2000000000 + event_id AS oresc_rev, k,
+        SELECT rev AS oresc_rev, k,
                {div((user_id * 37) % 100 * 1000, 110)} + (k % 10) * 10 AS p
         FROM ev WHERE NOT (user_id % 10 = 2 AND event_id % 6 = 5)"""),
     "score": (["score_base"], """
@@ -117,8 +121,9 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                {stamp_after(ts, k)} AS log_timestamp,
                CAST(NULL AS STRING) AS log_title,
                CASE WHEN k % 50 = 49 THEN 'a:0:' ELSE
-                    'a:3:{s:8:"4::curid";s:10:"' || CAST(2000000000 + event_id AS STRING)
-                    || '";s:9:"5::previd";i:0;}' END AS log_params,
+                    'a:3:{s:8:"4::curid";' || CASE WHEN k % 4 = 1 THEN 'i:' || CAST(rev AS STRING)
+                    ELSE 's:' || CAST(length(CAST(rev AS STRING)) AS STRING) || ':"'
+                    || CAST(rev AS STRING) || '"' END || ';s:9:"5::previd";i:0;}' END AS log_params,
                9000000000 + k % 9 AS log_actor
         FROM ev WHERE event_id % 3 = 0
         UNION ALL
@@ -194,6 +199,8 @@ DERIVED: dict[str, tuple[list[str], str]] = {
         UNION ALL SELECT qid, 'sitelinks', CAST(n % 6 AS STRING) FROM it WHERE n % 52 <> 0
         UNION ALL SELECT qid, 'label@en', 'Label ' || CAST(n AS STRING) FROM it WHERE n % 3 <> 0
         UNION ALL SELECT qid, 'label@de', 'Name ' || CAST(n AS STRING) FROM it
+        UNION ALL SELECT qid, 'label@fr', 'Q' || CAST(((n * 5) % 397) * 400009 + 1 AS STRING)
+                  FROM it WHERE n % 4 = 0
         UNION ALL SELECT DISTINCT 'Q' || CAST(((event_id * 31) % 397) * 400009 + 1 AS STRING),
                          CASE WHEN k % 2 = 0 THEN 'P31' ELSE 'P279' END,
                          'Q' || CAST(((event_id * 13) % 397) * 400009 + 1 AS STRING)
@@ -218,7 +225,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                CAST(CASE WHEN event_id % 9 = 8 THEN 4 ELSE 1198 END AS INT) AS page_namespace
         FROM ev WHERE k % 12 = 11 AND k % 5 = 0"""),
     "revtag": (["ev"], """
-        SELECT event_id + 1 AS rt_page, 2000000000 + event_id AS rt_revision
+        SELECT event_id + 1 AS rt_page, rev AS rt_revision
         FROM ev WHERE k % 12 = 11 AND k % 5 = 0"""),
 }
 

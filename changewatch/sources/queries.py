@@ -18,7 +18,7 @@ TAG_REVERTED = "mw-reverted"
 TAG_SUGGESTED = "apps-suggested-edits"
 MODEL_DAMAGING = "damaging"
 MODEL_GOODFAITH = "goodfaith"
-REVISION_IN_PARAMS = r's:8:"4::curid";s:10:"(\d+)";?'
+REVISION_IN_PARAMS = r'"4::curid";(?:s:\d+:"|i:)(\d+)'
 TRANSLATION_NAMESPACE = 1198
 
 
@@ -27,6 +27,12 @@ def in_review_scope() -> Column:
     return F.col("rc_patrolled").isin(0, 1)
 
 
+def revision_key() -> Column:
+    """The revision of a change to join on. Changes without one have 0 there, many of them; as null they
+    are kept out of the joins instead of meeting in one task."""
+    return F.nullif("rc_this_oldid", F.lit(0)).alias("revision")
+
+
 def with_editor(changes: DataFrame, tables: Tables) -> DataFrame:
     return changes.join(tables["actor"], F.col("rc_actor") == F.col("actor_id")) \
         .drop("rc_actor", "actor_id")
@@ -74,10 +80,14 @@ def change_tags(tables: Tables) -> DataFrame:
 
 
 def change_flags(tables: Tables) -> DataFrame:
-    """One row per tagged change: does it carry the revert tag, the suggested-edit tag."""
+    """One row per tagged change in scope in the main namespace: does it carry the revert tag, the
+    suggested-edit tag. Tags of other changes are cut off before they are grouped."""
+    scoped = tables["recentchanges"] \
+        .filter(in_review_scope() & (F.col("rc_namespace") == 0)).select("rc_id")
     wanted = tables["change_tag_def"].filter(F.col("ctd_name").isin(TAG_REVERTED, TAG_SUGGESTED))
     return (
         tables["change_tag"].join(wanted, F.col("ct_tag_id") == F.col("ctd_id"))
+        .join(scoped, F.col("ct_rc_id") == F.col("rc_id"), "left_semi")
         .groupBy(F.col("ct_rc_id").alias("rc_id"))
         .agg(F.bool_or(F.col("ctd_name") == TAG_REVERTED).alias("reverted"),
              F.bool_or(F.col("ctd_name") == TAG_SUGGESTED).alias("suggested_edit"))
@@ -85,8 +95,8 @@ def change_flags(tables: Tables) -> DataFrame:
 
 
 def revision_scores(tables: Tables) -> DataFrame:
-    """One row per scored revision with a column per current model. Of several current models with
-    one name the latest counts."""
+    """One row per scored revision in scope with a column per current model. Of several current models
+    with one name the latest counts. Other revisions are cut off before scores are grouped."""
     models = tables["score_model"].filter(
         (F.col("oresm_is_current") == 1)
         & F.col("oresm_name").isin(MODEL_DAMAGING, MODEL_GOODFAITH))
@@ -97,7 +107,7 @@ def revision_scores(tables: Tables) -> DataFrame:
         return F.max_by(probability, F.when(is_model, F.col("oresm_id")))
 
     return (
-        tables["score"].join(models, F.col("oresc_model") == F.col("oresm_id"))
+        scores_in_scope(tables).join(models, F.col("oresc_model") == F.col("oresm_id"))
         .groupBy("oresc_rev")
         .agg(latest(MODEL_DAMAGING).alias("oresc_damaging"),
              latest(MODEL_GOODFAITH).alias("oresc_goodfaith"))
@@ -106,9 +116,9 @@ def revision_scores(tables: Tables) -> DataFrame:
 
 def scores_in_scope(tables: Tables) -> DataFrame:
     """Score rows of revisions in scope, in any namespace."""
-    revisions = tables["recentchanges"].filter(in_review_scope()).select("rc_this_oldid")
+    revisions = tables["recentchanges"].filter(in_review_scope()).select(revision_key())
     return tables["score"].join(
-        revisions, F.col("oresc_rev") == F.col("rc_this_oldid"), "left_semi")
+        revisions, F.col("oresc_rev") == F.col("revision"), "left_semi")
 
 
 def patrol_log(tables: Tables, since: Column | None = None) -> DataFrame:

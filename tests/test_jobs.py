@@ -78,13 +78,26 @@ def test_tables_are_conformed(spark, tmp_path):
 
 
 def run_stream(query, tmp_path, name):
-    sink = query.writeStream.format("parquet").outputMode("append") \
-        .option("checkpointLocation", str(tmp_path / f"{name}-state")) \
-        .trigger(availableNow=True).start(str(tmp_path / name))
-    sink.awaitTermination(120)
+    jobs.start(query, str(tmp_path / name), str(tmp_path / f"{name}-state")).awaitTermination(120)
     return query.sparkSession.read.schema(query.schema).parquet(str(tmp_path / name))
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_streamed_days_do_not_depend_on_the_zone(spark, tmp_path, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        schema = "rc_id bigint, time timestamp_ntz, actor_user bigint"
+        rows = [(1, datetime(2024, 1, 1, 0, 30), None), (2, datetime(2024, 1, 1, 23, 30), None), (3, datetime(2024, 1, 9), None)]
+        for row in rows:
+            spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "c"))
+        stream = jobs.follow(spark, str(tmp_path / "c"), spark.read.parquet(str(tmp_path / "c")).schema)
+        got = run_stream(jobs.daily_activity(stream), tmp_path, "zoned").collect()
+        assert [(str(r.date), r.series, r.n) for r in got] == [("2024-01-01", "anon", 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_streamed_activity_equals_batch(spark, tmp_path):
     changes = enrich.changes(derived.from_events(spark, FOLDER)).select("rc_id", "time", "actor_user")
     source = str(tmp_path / "changes")
@@ -114,3 +127,14 @@ def test_streamed_delay_gives_up_after_the_limit(spark, tmp_path):
     right = spark.readStream.schema("rc_curid bigint, log_time timestamp_ntz").parquet(str(tmp_path / "l"))
     got = run_stream(jobs.review_delay(left, right), tmp_path, "delay")
     assert sorted((r.rc_id, r.delay_seconds) for r in got.collect()) == [(1, 7200), (2, None)]
+
+
+def test_streamed_delay_may_start_before_the_change(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    spark.createDataFrame([(1, 101, start), (2, 0, start)], "rc_id bigint, rc_this_oldid bigint, time timestamp_ntz") \
+        .coalesce(1).write.parquet(str(tmp_path / "c"))
+    spark.createDataFrame([(101, start - timedelta(hours=1)), (0, start)], "rc_curid bigint, log_time timestamp_ntz") \
+        .coalesce(1).write.parquet(str(tmp_path / "l"))
+    left, right = (jobs.follow(spark, str(tmp_path / x), spark.read.parquet(str(tmp_path / x)).schema) for x in "cl")
+    got = run_stream(jobs.review_delay(left, right, before="2 hours"), tmp_path, "early")
+    assert [(r.rc_id, r.delay_seconds) for r in got.collect()] == [(1, -3600)]
