@@ -82,27 +82,36 @@ def with_range_blocks(editors: DataFrame, history: DataFrame, current: DataFrame
     return matched.withColumn("is_range_blocked", in_force).drop("infinite")
 
 
+def addresses_with_ranges(changes: DataFrame, history: DataFrame, current: DataFrame,
+                          settings: Settings) -> DataFrame:
+    """Addresses with open changes, all and those made without an account, and what ranges they lie in."""
+    editors = changes.filter("rc_patrolled = 0").groupBy("actor_name").agg(
+        F.count(F.lit(1)).alias("all_edits"), F.count_if(F.col("actor_user").isNull()).alias("anon_edits"))
+    editors = ip.with_address_hex(editors, "actor_name").filter(F.col("digits").isNotNull())
+    return with_range_blocks(editors, history, current, settings)
+
+
 def anonymous(changes: DataFrame, history: DataFrame, current: DataFrame, settings: Settings,
-              recent: bool = False, compat: bool = False) -> DataFrame:
+              recent: bool = False, compat: bool = False,
+              addresses: DataFrame | None = None) -> DataFrame:
     """Addresses that were blocked themselves or lie in a range that was (in the last year if
     ``recent``): open changes, own blocks of all time, range blocks and what is in force now.
 
     Changes are read once: one row per editor holds all its open changes and those made without an
-    account; ranges count for the latter. ``compat``: an address that is listed for a range only gets
-    no block of its own in force.
+    account; ranges count for the latter. ``addresses`` are those of ``addresses_with_ranges``, if they are
+    stored already. ``compat``: an address that is listed for a range only gets no block of its own
+    in force.
     """
     range_column = "range_blocks_1y" if recent else "range_blocks_all"
-    editors = changes.filter("rc_patrolled = 0").groupBy("actor_name").agg(
-        F.count(F.lit(1)).alias("all_edits"), F.count_if(F.col("actor_user").isNull()).alias("anon_edits"))
-    editors = ip.with_address_hex(editors, "actor_name").filter(F.col("digits").isNotNull())
+    if addresses is None:
+        addresses = addresses_with_ranges(changes, history, current, settings)
     own = _block_counts(history, ADDRESS_TYPES, settings, recent)
     direct = current.filter(F.col("range_start") == F.col("range_end")) \
         .select(F.col("user_name").alias("direct_name"), "is_blocked")
     has_own = F.col("block_cnt").isNotNull()
     in_ranges = F.when(F.col("anon_edits") > 0, F.col(range_column)).otherwise(0)
     listed = (
-        with_range_blocks(editors, history, current, settings)
-        .join(own, F.col("actor_name") == F.col("user_name"), "left")
+        addresses.join(own, F.col("actor_name") == F.col("user_name"), "left")
         .withColumn(range_column, in_ranges).filter(has_own | (F.col(range_column) > 0))
     )
     match = F.col("actor_name") == F.col("direct_name")

@@ -14,24 +14,42 @@ from changewatch.sources import queries
 from changewatch.sources.readers import Tables
 
 
-def stored(df: DataFrame, name: str, fallback: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, so that reports start from files that
-    outlive executors and not from a plan that would run again for each of them. The folder is the
-    one the cluster names in ``spark.checkpoint.dir``."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def run(spark: SparkSession, tables: Tables, settings: Settings, out: str) -> None:
-    changes = stored(enrich.changes(tables), "changes", f"{out}/work")
+class Work:
+    """Tables that reports start from, as files that outlive executors, in a folder of this run. It is below
+    ``folder`` or else below the one the cluster names in ``spark.checkpoint.dir``, and goes when the run ends."""
+
+    def __init__(self, spark: SparkSession, folder: str | None):
+        base = folder or spark.conf.get("spark.checkpoint.dir", None)
+        if base is None:
+            raise ValueError("name a folder for intermediate tables, shared by all machines")
+        self.spark, self.path = spark, f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def __enter__(self) -> Work:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def run(spark: SparkSession, tables: Tables, settings: Settings, out: str, work: str | None = None) -> None:
+    """Write all reports to ``out``. ``work`` is a folder that all machines share."""
+    with Work(spark, work) as folder:
+        write_reports(spark, tables, settings, out, folder)
+
+
+def write_reports(spark: SparkSession, tables: Tables, settings: Settings, out: str, work: Work) -> None:
+    changes = work.stored(enrich.changes(tables), "changes")
     since = changes.agg(F.min("rc_timestamp")).scalar()
-    log = stored(queries.patrol_log(tables, since), "patrol-log", f"{out}/work")
-    delays = stored(enrich.patrol_progress(changes, log), "patrol-progress", f"{out}/work")
-    history = stored(queries.block_history(tables), "block-history", f"{out}/work")
-    current = stored(queries.current_blocks(tables), "current-blocks", f"{out}/work")
+    log = work.stored(queries.patrol_log(tables, since), "patrol-log")
+    delays = work.stored(enrich.patrol_progress(changes, log), "patrol-progress")
+    history = work.stored(queries.block_history(tables), "block-history")
+    current = work.stored(queries.current_blocks(tables), "current-blocks")
+    addresses = work.stored(blocks.addresses_with_ranges(changes, history, current, settings), "addresses")
     triples, c = tables["triples"], F.col
 
     for unit in ("date", "weekday", "hour"):
@@ -89,21 +107,22 @@ def run(spark: SparkSession, tables: Tables, settings: Settings, out: str) -> No
          [c("entity_usage_count").desc(), c("rc_title").desc()]),
         ("worklist-uncategorized", worklists.uncategorized_summaries(changes), [c("rc_id")]),
     ):
-        files.write_report(table, f"{out}/{name}", order, settings.head_rows)
+        files.write_report(work.stored(table, name), f"{out}/{name}", order, settings.head_rows)
     for suffix, recent in (("all", False), ("1y", True)):
         files.write_report(
-            blocks.registered(changes, history, current, settings, recent),
+            work.stored(blocks.registered(changes, history, current, settings, recent), f"registered-{suffix}"),
             f"{out}/blocked-registered-{suffix}", [c("edits").desc(), c("actor_name")],
             settings.head_rows)
         files.write_report(
-            blocks.anonymous(changes, history, current, settings, recent),
+            work.stored(blocks.anonymous(changes, history, current, settings, recent, addresses=addresses),
+                        f"anon-{suffix}"),
             f"{out}/blocked-anon-{suffix}", [c("edits").desc(), *blocks.address_order()],
             settings.head_rows)
-    files.write_report(worklists.top_patrollers(changes, log), f"{out}/top-patrollers",
+    files.write_report(work.stored(worklists.top_patrollers(changes, log), "patrollers"), f"{out}/top-patrollers",
                        [c("patrols").desc(), c("patroller")], settings.head_rows_patrollers)
 
     for name, (report, key, order) in keyed.KEYED_REPORTS.items():
-        files.write_keyed_report(report(changes), f"{out}/{name}", key,
+        files.write_keyed_report(work.stored(report(changes), name), f"{out}/{name}", key,
                                  [*map(c, order), c("rc_id")], settings.head_rows)
     files.write_keyed_report(
         keyed.side_namespace_worklist(queries.side_namespace_changes(tables),

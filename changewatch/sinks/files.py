@@ -22,7 +22,8 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_report(df: DataFrame, folder: str, order: list[Column], head_rows: int = 50) -> None:
-    """The whole report, sorted, under ``full`` and its first rows under ``head``."""
+    """The whole report, sorted, under ``full`` and its first rows under ``head``. Both read ``df``; give it a stored
+    table where it is dear."""
     _tsv(df.orderBy(*order)).csv(f"{folder}/full")
     _tsv(df.orderBy(*order).limit(head_rows).coalesce(1)).csv(f"{folder}/head")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,6 +24,10 @@ class Tables:
             self._seen[name] = conform(self._load(name), name)
         return self._seen[name]
 
+    def replaced(self, others: dict[str, Callable[[], DataFrame]]) -> Tables:
+        """These tables with some taken from elsewhere, such as namespaces from a JSON file."""
+        return Tables(lambda name: others[name]() if name in others else self[name])
+
 
 def from_parquet(spark: SparkSession, folder: str) -> Tables:
     """One Parquet folder per table, ``folder/<table>``."""
@@ -50,8 +55,11 @@ def from_jdbc(spark: SparkSession, url: str, properties: dict[str, str],
               bounds: dict[str, tuple[int, int]] | None = None, partitions: int = 64,
               names: dict[str, str] | None = None) -> Tables:
     """Tables of a SQL database. ``bounds`` gives the key range of the tables to read in parallel,
-    ``names`` the database's name of a table where it differs from ours."""
+    ``names`` the database's name of a table where it differs from ours. A table that has a key to split on
+    but no bounds comes through one connection into one task, with a warning."""
     def load(name: str) -> DataFrame:
+        if name in SPLIT_KEYS and name not in (bounds or {}):
+            warnings.warn(f"{name} is read by one task; give bounds of {SPLIT_KEYS[name]}", stacklevel=2)
         reader = spark.read.format("jdbc").options(
             url=url, dbtable=(names or {}).get(name, name), **properties)
         return reader.options(**jdbc_options(name, (bounds or {}).get(name), partitions)).load()

@@ -8,11 +8,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from changewatch import __main__ as command
 from changewatch.config import Settings
 from changewatch.operators import enrich
-from changewatch.plans import job, trends
+from changewatch.plans import trends
 from changewatch.sinks import files
 from changewatch.sources import derived, readers
+from changewatch.sources.schemas import TABLES
 from changewatch.streaming import jobs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -39,7 +41,22 @@ def test_keyed_report_drops_stale_keys_and_keeps_all_rows(spark, tmp_path):
 
 def test_batch_run_writes_all_reports(spark, tmp_path):
     out = str(tmp_path / "out")
-    job.run(spark, derived.from_events(spark, FOLDER), SETTINGS, out)
+    source = derived.from_events(spark, FOLDER)
+    for name in TABLES:
+        if name not in ("namespaces", "request_links", "entity_usage"):
+            source[name].write.parquet(str(tmp_path / "source" / name))
+    links = [{"title": r.title} for r in source["request_links"].collect()]
+    (tmp_path / "links.json").write_text(json.dumps({"query": {"pages": {"7": {"links": links}}}}))
+    names = {str(r.id): {"id": r.id, "name": r.name} for r in source["namespaces"].collect()}
+    (tmp_path / "names.json").write_text(json.dumps({"query": {"namespaces": names}}))
+    (tmp_path / "usage.tsv").write_text("\n".join(["qid\tn", *[f"{r[0]}\t{r[1]}" for r in source["entity_usage"].collect()]]))
+    command.main(["--parquet", str(tmp_path / "source"), "--namespaces", str(tmp_path / "names.json"), "--request-links",
+                  str(tmp_path / "links.json"), "--item-usage", str(tmp_path / "usage.tsv"), "--as-of", SETTINGS.as_of.isoformat(),
+                  "--work", str(tmp_path / "work"), "--out", out])
+    assert os.listdir(tmp_path / "work") == []
+    sizes = [r.edits for r in spark.read.option("sep", "\t").option("header", True).schema("actor_name string, edits long")
+             .csv(f"{out}/worklist-users-many-creations/head").collect()]
+    assert sizes and sizes == sorted(sizes, reverse=True)
     names = os.listdir(out)
     assert len(names) > 55 and "blocked-anon-1y" in names
     assert keys_in(f"{out}/worklist/full") == ["14d", "3d", "7d", "all", "suggested-edit", "today"]
