@@ -28,6 +28,8 @@ HINTS = frozenset(
     "consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice "
     "notices notification overlay pager pagination popup promo promotion recommended related reply replies respond share "
     "sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: Whole class names of elements that hold the article, whatever else they are called.
+HOLDERS = frozenset("article body container content entry layout main page post text wrapper".split())
 
 #: Pages written for this module; the main text stands between [[ and ]]. The weights are fitted on them.
 LABELLED = [
@@ -63,8 +65,10 @@ def is_boilerplate(name: str, attributes: str, inside: bool) -> bool:
             return True
         if key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id") and any(word.lower() in HINTS for word in PART.findall(value)):
-            return True
+        if key in ("class", "id") and HOLDERS.isdisjoint(value.lower().split()):
+            words = {word.lower() for word in PART.findall(value)} - ({"header"} if inside else set())
+            if not HINTS.isdisjoint(words):
+                return True
     return False
 
 

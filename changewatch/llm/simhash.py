@@ -187,7 +187,9 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, radius: int = 2, ke
                 covered = [xxhash.xxh64_intdigest(f"{i} {own & mask}") >> 1 for i, mask in enumerate(masks)]
                 whole = passages(hashes)
                 sizes.append(len(whole))
-                keys.append([*((1 << 62) | number >> 1 for number in covered), *(number >> 2 for number in whole.tolist())])
+                # bit 62 tells the two kinds of bucket apart
+                keys.append([*((1 << 62) | number >> 1 for number in covered),
+                             *((number & (1 << 64) - 1) >> 3 for number in whole.tolist())])
             yield pa.RecordBatch.from_arrays(
                 [rows.column("key"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64()))], ["key", "digest", "passages", "buckets"])

@@ -170,6 +170,8 @@ def test_pages_of_many_kinds():
         "<article><p>un<i>closed<p>two<br>lines</article>after words": "unclosed\ntwo lines",
         "<main><p>1 < 2 and a<b>c</b></main>": "1 < 2 and ac",
         "<article><p>x</p><style>p{}</style><form>Your mail <input></form><p>y</p></article>": "x\ny",
+        "<div class='content with-sidebar'><p>Main words stay.</p><div class='comment-body'>Reply</div></div>": "Main words stay.",
+        "<article><div class='entry-header'><h1>Title</h1></div><p>x</p><div class='entry-footer'>Tags</div></article>": "Title\nx",
         "<div id=cookieNotice>We use cookies on this site</div><div><p>Real words of a page that go on for a while.</p></div>":
             "Real words of a page that go on for a while.",
     }
