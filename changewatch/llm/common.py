@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -51,10 +52,30 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+def tidy() -> None:
+    """Give memory of finished work back to the system, and large blocks from now on as soon as they are free. Workers are
+    used again by later tasks, and what the allocators keep of earlier ones would add up beside what the task at hand needs."""
+    pa.default_memory_pool().release_unused()
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        library = ctypes.CDLL(None)
+        library.mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD: larger blocks are mapped, and unmapped when freed
+        library.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+        library.malloc_trim(0)
+    except (OSError, AttributeError):  # another C library; nothing depends on it
+        pass
+
+
 def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with the package at the workers."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
+        yield from function(batches)
+        tidy()
+
+    return df.mapInArrow(run, schema)
 
 
 def text_of(column: str) -> Column:

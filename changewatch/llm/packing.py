@@ -28,7 +28,7 @@ class Words:
     Latin letters alone is one unit that ends with an end-of-word piece, and so is a full stop or comma after
     it. Such words are encoded many to a text and told apart by those pieces; all others one by one."""
 
-    def __init__(self, path: str, most: int = 1_200_000):
+    def __init__(self, path: str, most: int = 300_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
         self.known: dict[bytes, bytes] = {}

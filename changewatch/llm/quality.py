@@ -23,13 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from changewatch.llm.common import mapped, ship, text_of, total_bytes, written
+from changewatch.llm.common import mapped, ship, text_of, tidy, total_bytes, written
 
 ORDER = 5
 BEGIN, END = b"\xff", b"\xfe"  # bytes that UTF-8 never has
 SYMBOLS = 257
 CHUNK = 8 << 20  # bytes of text in a chunk
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 HELD_OUT = 5  # one in so many trusted documents sets thresholds instead of counts
 LOW = 2  # orders that go everywhere
 
@@ -204,6 +204,7 @@ def scores(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
         return found
 
     def list_grams(key: tuple[pa.Scalar, ...], own: pa.Table, learnt: pa.Table) -> pa.Table:
+        tidy()
         chosen = {ident for ids in learnt.column("ids").to_pylist() for ident in ids}
         learn = texts_by_language(own, chosen)
         rows = []
@@ -236,6 +237,7 @@ def scores(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
         return table_of([(key[0].as_py(), low, counts, stats)], SIDE)
 
     def answer(own: pa.Table, side: pa.Table) -> pa.Table:
+        tidy()
         sides = {row["lang"]: row for row in side.to_pylist()}
         logs = {}
         for language, (keys, counts) in summed(own).items():
@@ -251,6 +253,7 @@ def scores(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
         return table_of(rows, ANSWERS)
 
     def add_up(own: pa.Table, answers: pa.Table) -> pa.Table:
+        tidy()
         lists = answers.column("logs").combine_chunks()
         by_language = defaultdict(dict)
         for i, (language, shard) in enumerate(zip(*(answers.column(c).to_pylist() for c in ("lang", "shard")))):

@@ -23,10 +23,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from changewatch.llm.common import mapped, ship, text_of, total_bytes, written
+from changewatch.llm.common import mapped, ship, text_of, tidy, total_bytes, written
 
 LAST = np.iinfo(np.int64).max  # stands for a null id
-CHUNK, BUCKET = 4 << 20, 32 << 20  # bytes of text behind a chunk and a bucket of anchors
+CHUNK, BUCKET = 4 << 20, 16 << 20  # bytes of text behind a chunk and a bucket of anchors
 FINE = 16  # parts of a bucket that are put in suffix order one after the other
 SEGMENT = 1 << 18
 MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -144,6 +144,7 @@ class Chunk:
     shared anchors, spans to remove (number of the document here, start, end)."""
 
     def __init__(self, docs: pa.Table, notes: pa.Table):
+        tidy()
         texts = [text.encode() for text in docs.column("text").to_pylist()]
         ids = docs.column("id").to_pylist()
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
@@ -238,6 +239,7 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
                       [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())])
 
     def find_shared(own: pa.Table) -> pa.Table:
+        tidy()
         lists = own.column("anchors").combine_chunks()
         anchors = lists.flatten().to_numpy()
         counts = own.column("counts").combine_chunks().flatten().to_numpy()
@@ -314,6 +316,7 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
                       [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int8()), pa.list_(pa.int64())])
 
     def find_copies(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
+        tidy()
         bucket = key[0].as_py()
         chunk = own.column("chunk").to_numpy()
         uses = own.column("uses").combine_chunks()

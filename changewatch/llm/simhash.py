@@ -173,7 +173,8 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, radius: int = 2, ke
     any two within ``radius`` bits meet, and under the fingerprints of their passages, as a similarity of 0.8 flips far more bits
     of a whole text: it leaves at most 0.11 of the shingles changed, 2.2 words in a hundred, which leave
     enough passages whole. In each bucket a document is paired with the smallest and the largest one, two pairs a row however large the bucket; pairs by
-    passages must share a fifth of them. Each pair is then compared exactly. Null keys have no group; null texts are
+    passages must share a fifth of them. Each pair is then compared by all its
+    shingles, as 32-bit hashes. Null keys have no group; null texts are
     empty; rows with one key are one document if their texts are alike."""
     masks = [as_signed(mask) for mask in covering_masks(radius)]
 
@@ -211,7 +212,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, radius: int = 2, ke
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own, texts in slices(batches, "text", 1 << 22):
-            found = [np.unique(shingle_hashes(value, SHINGLE)).astype("<u8").tobytes() for value in texts]
+            found = [np.unique(shingle_hashes(value, SHINGLE) >> np.uint64(32)).astype("<u4").tobytes() for value in texts]
             yield pa.RecordBatch.from_arrays([own.column("key"), pa.array(found, pa.binary())], ["key", "shingles"])
 
     shingles = written(mapped(wanted, sets, "key long, shingles binary").dropDuplicates(["key"]), "shingles")
@@ -220,7 +221,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, radius: int = 2, ke
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y")):
-                left, right = (np.frombuffer(side.as_buffer(), "<u8") for side in (x, y))
+                left, right = (np.frombuffer(side.as_buffer(), "<u4") for side in (x, y))
                 both = len(np.intersect1d(left, right, assume_unique=True))
                 keep.append(both >= similarity * (len(left) + len(right) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
