@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -132,81 +133,138 @@ def near_duplicates(docs: DataFrame, radius: int = 2, size: int = 3, key: str =
 
 
 SHINGLE = 5
-#: Shingles in a passage on average, and the sizes of texts in shingles that are cut so. A similarity of 0.8 is one of sizes too, so
-#: near-duplicates have a cut in common.
-CUTS = ((8, 0, 600), (24, 480, 1 << 62))
-SHARED = 0.2  # of a document's passages that a candidate shares at least
-
-
-def passages(hashes: np.ndarray) -> np.ndarray:
-    """SimHash of the passages of a text under each of CUTS that its size falls under."""
-    size = len(set(hashes.tolist()))
-    return np.unique(np.concatenate([cut_up(hashes, mean) for mean, least, most in CUTS if least <= size <= most]))
-
-
-def cut_up(hashes: np.ndarray, mean: int) -> np.ndarray:
-    """SimHash of every passage of a text: its shingles from one whose hash is a multiple of ``mean`` to the next, so that an edit
-    changes the passages that it touches and no others."""
-    if not len(hashes):
-        return np.zeros(1, np.int64)
-    heads = np.flatnonzero(hashes % np.uint64(mean) == 0)
-    heads = heads if len(heads) and heads[0] == 0 else np.append(0, heads)
-    sizes = np.diff(np.append(heads, len(hashes)))
-    found = []
-    step = 1 << 10
-    for at in range(0, len(heads), step):
-        own = heads[at:at + step]
-        end = heads[at + len(own)] if at + len(own) < len(heads) else len(hashes)
-        bits = np.unpackbits(np.ascontiguousarray(hashes[own[0]:end].astype("<u8")).view(np.uint8).reshape(-1, 8), axis=1,
-                             bitorder="little")
-        counts = np.add.reduceat(bits, own - own[0], axis=0, dtype=np.int64)
-        most = 2 * counts > sizes[at:at + len(own), None]
-        found.append(np.packbits(most, axis=1, bitorder="little").view("<i8")[:, 0])
-    return np.concatenate(found)
-
-
-def similar_groups(docs: DataFrame, similarity: float = 0.8, radius: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+SAMPLED = 20000  # documents, about, whose shingles are counted to tell which ones are common
+COMMON = 1 << 18  # common shingles at most that all tasks are told of
+SLACK = 1e-9  # so that rounding never leaves a pair out
+
+
+def first_so_many(size: int, share: float) -> int:
+    """How many of the first shingles of a set one must have in common with any set that shares ``share`` of it."""
+    return size - math.ceil(share * size - SLACK) + 1 if size else 0
+
+
+def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that at least three of some SAMPLED documents have, ascending, and in how many of them they are. It holds COMMON at most, the
+    commonest; it decides the order of shingles and thereby the work, never which pairs are found."""
+    step = max(1, rows.count() // SAMPLED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in slices(batches, "text", 1 << 20):
+            own = [np.unique(shingle_hashes(value, SHINGLE)) for value in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64))], ["shingle"])
+
+    some = rows.where(F.pmod(F.xxhash64("key"), F.lit(step)) == 0)
+    counted = written(mapped(some, run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 2"), "common")
+    sizes = counted.groupBy(F.least("n", F.lit(SAMPLED)).alias("n")).agg(F.count(F.lit(1)).alias("shingles")).collect()
+    least, total = SAMPLED + 1, 0
+    for row in sorted(sizes, key=lambda row: -row.n):
+        total += row.shingles
+        if total > COMMON:
+            break
+        least = row.n
+    found = counted.where(F.col("n") >= least).toArrow()
+    keys, counts = (found.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("shingle", "n"))
+    keys = keys.astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], counts.astype(np.int64)[order]
+
+
+def rare_first(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The distinct shingles of a text in an order that is the same for all texts: those not known as common by hash, then the common
+    ones by their number."""
+    own = np.unique(hashes)
+    keys, counts = common
+    if not len(keys) or not len(own):
+        return own
+    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+    return own[np.lexsort((own, np.where(keys[at] == own, counts[at], 0)))]
+
+
+def similar_groups(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, group: the smallest key of the near-duplicates of each document that has any, over chains of pairs whose Jaccard
-    similarity of five-word shingles is at least ``similarity``.
-
-    Documents with equal sets of shingles are one. The others are looked up under the covering masks of their fingerprint, so that
-    any two within ``radius`` bits meet, and under the fingerprints of their passages, as a similarity of 0.8 flips far more bits
-    of a whole text: it leaves at most 0.11 of the shingles changed, 2.2 words in a hundred, which leave
-    enough passages whole. In each bucket a document is paired with the smallest and the largest one, two pairs a row however large the bucket; pairs by
-    passages must share a fifth of them. Each pair is then compared by all its
-    shingles, as 32-bit hashes. Null keys have no group; null texts are
+    similarity of five-word shingles is at least ``similarity``. No such pair is left out.
+
+    Documents with equal sets of shingles are one. Prefix filter: with all shingles in one order, two similar sets meet in one of the first
+    n - ceil(similarity n) + 1 of the larger and one of the first n - ceil(2 similarity / (1 + similarity) n) + 1 of the smaller one
+    (the ``lead`` shingles). Rare ones come first, so what many documents have, as a template, is in neither unless they are little
+    else. In each bucket, the documents of a shingle, every one is first compared with the one of the smallest key and the one that has the fewest
+    rarer shingles: two pairs a row, which make one component of a family. Then all pairs of a bucket that are in different components are
+    compared; only a bucket of many documents that pass the filters and are not alike costs the square of its size.
+
+    Each pair is compared by all its shingles, as 32-bit hashes. Null keys have no group; null texts are
     empty; rows with one key are one document if their texts are alike."""
-    masks = [as_signed(mask) for mask in covering_masks(radius)]
+    if not 0 < similarity <= 1:
+        raise ValueError("the similarity is above 0 and at most 1")
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
+    told = docs.sparkSession.sparkContext.broadcast(common_shingles(rows))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in slices(batches, "text", 1 << 22):
-            digests, keys, sizes = [], [], []
+        for own, texts in slices(batches, "text", 1 << 22):
+            digests, sizes, leads, buckets = [], [], [], []
             for value in texts:
-                hashes = shingle_hashes(value, SHINGLE)
-                digests.append(xxhash.xxh3_128_digest(np.unique(hashes).tobytes()))
-                own = simhash(hashes)
-                covered = [xxhash.xxh64_intdigest(f"{i} {own & mask}") >> 1 for i, mask in enumerate(masks)]
-                whole = passages(hashes)
-                sizes.append(len(whole))
-                # bit 62 tells the two kinds of bucket apart
-                keys.append([*((1 << 62) | number >> 1 for number in covered),
-                             *((number & (1 << 64) - 1) >> 3 for number in whole.tolist())])
+                ordered = rare_first(shingle_hashes(value, SHINGLE), told.value)
+                digests.append(xxhash.xxh3_128_digest(ordered.tobytes()))
+                sizes.append(len(ordered))
+                leads.append(first_so_many(len(ordered), 2 * similarity / (1 + similarity)))
+                buckets.append(ordered[:first_so_many(len(ordered), similarity)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("key"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["key", "digest", "passages", "buckets"])
+                [own.column("key"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(leads, pa.int32()),
+                 pa.array(buckets, pa.list_(pa.int64()))], ["key", "digest", "size", "lead", "buckets"])
 
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
-    marked = written(mapped(rows, mark, "key long, digest binary, passages long, buckets array<bigint>"), "marks")
+    marked = written(mapped(rows, mark, "key long, digest binary, size int, lead int, buckets array<bigint>"), "marks")
     firsts = written(marked.groupBy("digest").agg(F.min("key").alias("first")), "firsts")
     equal = written(marked.select("key", "digest").join(firsts, "digest").select("key", "first").distinct(), "equal")
-    alone = marked.join(firsts.where("first IS NOT NULL"), "digest").where(F.col("key") == F.col("first"))
-    listed = written(alone.select("key", "passages", F.explode(F.array_distinct("buckets")).alias("bucket")).distinct(), "listed")
-    ends = written(listed.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high"), "ends")
-    met = listed.join(ends, "bucket").select("key", "passages", F.col("bucket").bitwiseAND(1 << 62).alias("covered"),
-                                             F.explode(F.array("low", "high")).alias("other")).where("key <> other")
-    pairs = met.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"), "covered", "passages", "key").groupBy(
-        "a", "b", "key").agg(F.max(F.col("covered") > 0).alias("near"), F.count(F.lit(1)).alias("n"), F.max("passages").alias("m"))
-    pairs = written(pairs.where(F.col("near") | (F.col("n") >= SHARED * F.col("m"))).select("a", "b").distinct(), "pairs")
+    alone = marked.join(firsts.withColumnRenamed("first", "key"), ["digest", "key"], "left_semi")
+    listed = written(alone.select("key", "size", "lead", F.posexplode("buckets").alias("place", "bucket")).select(
+        "bucket", "key", "size", "place", (F.col("place") < F.col("lead")).alias("leads")), "listed")
+    # of one key with several texts, rows of one bucket count as two here, which costs work only
+    met = written(listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("any")).where("n > 1 AND any").select(
+        "bucket"), "met")
+    shared = written(listed.join(met, "bucket"), "shared")
+
+    def alike(a: str, b: str) -> Column:  # in size
+        return F.least(a, b) >= similarity * F.greatest(a, b) - SLACK
+
+    def pairs_of(found: DataFrame, name: str) -> DataFrame:
+        return written(found.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct(), name)
+
+    ends = written(shared.groupBy("bucket").agg(
+        F.min(F.struct("key", "size")).alias("low"),
+        F.min(F.struct("place", "size", "key")).alias("core")).select("bucket", F.array(
+            F.struct(F.col("low.key").alias("other"), F.col("low.size").alias("other_size")),
+            F.struct(F.col("core.key").alias("other"), F.col("core.size").alias("other_size"))).alias("ends")), "ends")
+    stars = shared.join(ends, "bucket").select("key", "size", F.explode("ends").alias("e")).select(
+        "key", "size", "e.other", "e.other_size").where("key <> other").where(alike("size", "other_size"))
+    compared = similar_pairs(rows, pairs_of(stars, "stars"), similarity)
+    linked = written(compared, "linked")
+    known = written(components(linked), "known")
+
+    # what is left: pairs of one bucket and different components, the smaller one's shingle a leading one
+    placed = written(shared.join(known.select(F.col("node").alias("key"), "root"), "key", "left").select(
+        *shared.columns, F.coalesce("root", "key").alias("root")), "placed")
+    heads = written(placed.groupBy("bucket", "root").agg(
+        F.min("size").alias("least"), F.max("size").alias("most"),
+        F.min(F.when(F.col("leads"), F.col("size"))).alias("lead_least")), "heads")
+    left = heads.where("lead_least IS NOT NULL").select("bucket", "root", "lead_least", F.col("most").alias("own_most"))
+    right = heads.select("bucket", F.col("root").alias("other_root"), "least", "most")
+    met_roots = written(left.join(right, "bucket").where("root <> other_root").where(
+        (F.col("lead_least") <= F.col("most")) & (F.col("own_most") >= similarity * F.col("least") - SLACK)).select(
+        "bucket", "root", "other_root"), "roots")
+    small = written(met_roots.join(placed.where("leads").select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).select(
+        "bucket", F.col("other_root").alias("root"), F.col("key").alias("other"), F.col("size").alias("other_size"),
+        F.col("place").alias("other_place")), "small")
+    # the pair's first common shingle leaves room for all that they must share
+    needed = similarity / (1 + similarity) * (F.col("size") + F.col("other_size")) - SLACK
+    room = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+    rest = small.join(placed.select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).where(
+        (F.col("other_size") <= F.col("size")) & alike("size", "other_size") & (room >= needed))
+    linked = linked.union(similar_pairs(rows, pairs_of(rest, "rest"), similarity)).union(
+        equal.where("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")))
+    return components(linked).select(F.col("node").alias(key), F.col("root").alias("group"))
+
+
+def similar_pairs(rows: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs a, b of keys whose texts' shingles have at least the similarity."""
     asked = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     wanted = rows.join(asked, "key", "left_semi")
 
@@ -228,8 +286,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, radius: int = 2, ke
 
     sides = pairs.join(shingles.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(
         shingles.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    linked = mapped(sides, compare, "a long, b long").union(equal.where("key <> first"))
-    return components(linked).select(F.col("node").alias(key), F.col("root").alias("group"))
+    return mapped(sides, compare, "a long, b long")
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:

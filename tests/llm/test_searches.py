@@ -165,3 +165,27 @@ def test_fingerprints_have_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
     same = minhash.fingerprints(spark.createDataFrame([(1, "a b"), (2, "a  b"), (3, "b a")], "doc_id long, text string")).collect()
     assert same[0].fingerprint == same[1].fingerprint != same[2].fingerprint
+
+
+def test_similar_groups_of_templates_and_chains(spark):
+    """Middle members of buckets that are alike only to each other, and versions whose ends are not alike."""
+    template = prose(1000, 300).split()
+    docs = {}
+    for i in range(60):  # one template, own text of different sizes; pairs of them are alike, at any place of the order
+        own = prose(2000 + i % 30, 60 + 5 * (i % 30)).split()
+        docs[i] = " ".join([*template, *own, *prose(3000 + i, 6).split()])
+    chain = prose(4000, 400).split()
+    for i in range(40):  # each version has two more words changed than the last
+        for k in (7 * i, 7 * i + 3):
+            chain[k] = f"new{k}"
+        docs[100 + (i * 17) % 40] = " ".join(chain)
+    for i in range(30):  # copies of a base that only the base is near to
+        own = prose(5000, 200).split()
+        for k in random.Random(i).sample(range(200), 4):
+            own[k] = f"v{i}x{k}"
+        docs[200 + i] = " ".join(own)
+    docs[215] = prose(5000, 200)
+    df = spark.createDataFrame([*docs.items()], "doc_id long, text string").repartition(5)
+    found = dict(simhash.similar_groups(df).collect())
+    near = union_find(sorted(docs), lambda a, b: jaccard(docs[a], docs[b]) >= 0.8)
+    assert {i: found.get(i, i) for i in docs} == near
