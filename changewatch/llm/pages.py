@@ -51,41 +51,81 @@ EVENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>?|<(/?)([a-zA-Z][^
 LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([a-zA-Z-]+)")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: How many times the words outside all zones an element of HINTS must hold to be the page itself and not a part beside the article.
+WRAPS = 4
 
 
-def is_boilerplate(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is of a kind that an article does not hold. A header in an article is a part of it."""
-    if name in BOILERPLATE or name == "header" and not inside:
-        return True
-    if not attributes or name in CONTENT or name in ("html", "body"):
-        return False
+def zone_kind(name: str, attributes: str, inside: bool) -> str:
+    """"firm" or "loose" for an element of a kind that an article does not hold, else "". Loose are forms and what only a word in its class or
+    id tells, as these are also given to what wraps a whole page. A header in an article is a part of it."""
+    firm = name in BOILERPLATE and name != "form" or name == "header" and not inside
+    if firm or name in CONTENT or name in ("html", "body"):
+        return "firm" if firm else ""
+    kind = "loose" if name == "form" else ""
     for key, *values, bare in ATTRIBUTE.findall(attributes):
         value, key = "".join(values), (key or bare).lower()
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "role" and value.lower() in ROLES:
-            return True
+            return "firm"
+        if key == "role" and value.lower() in ROLES and not (name == "form" and value.lower() == "form"):
+            return "firm"
         if key in ("class", "id") and HOLDERS.isdisjoint(value.lower().split()):
             words = {word.lower() for word in PART.findall(value)} - ({"header"} if inside else set())
             if not HINTS.isdisjoint(words):
-                return True
-    return False
+                kind = "loose"
+    return kind
 
 
-def events(page: str) -> list[tuple[str, str, str]]:
+class Zone:
+    """An element of a zone kind: what it holds, and in the end whether its words stay."""
+
+    def __init__(self, name: str, kind: str, around: Zone | None) -> None:
+        self.name, self.kind, self.around = name, kind, around
+        self.words = 0  # outside links and zones within that do not stay
+        self.holds = set()  # of CONTENT
+        self.stays = False
+
+
+def settle(zones: list[Zone], outside: int, content_outside: set[str]) -> None:
+    """Let zones stay that wrap the page: those that hold its <main>; and, from the inside out and the largest first, loose ones with more
+    words than there are around them and in others that stay there if they are forms or hold the <article>, WRAPS times as many otherwise."""
+    near: dict[Zone | None, list[Zone]] = {None: []}
+    seen = {None: outside}  # words of a zone and those around it, without zones within
+    for zone in zones:
+        seen[zone] = seen[zone.around] + zone.words
+        near[zone] = []
+        near[zone.around].append(zone)
+    for around in [*reversed(zones), None]:  # in the order of their starts, so inner ones come first
+        for zone in sorted(near[around], key=lambda zone: -zone.words):
+            factor = 1 if zone.name == "form" or "article" in zone.holds and not content_outside else WRAPS
+            zone.stays = ("main" in zone.holds and "main" not in content_outside
+                          or zone.kind == "loose" and zone.words > factor * seen[around])
+            seen[around] += zone.words * zone.stays
+            if around is not None:
+                around.holds |= zone.holds
+                around.words += zone.words * zone.stays
+    for zone in zones:
+        zone.stays = zone.stays and (zone.around is None or zone.around.stays)
+
+
+def events(page: str, whole: bool = False) -> list[tuple[str, str, str]]:
     """The page in order: ("text", context, text) and ("tag", name, what it does to text: "block", "space" or ""). Each character is
     looked at a bounded number of times. Contexts: "outside" where the page has an article and this is not it, else "main" in an article
     or "plain", with "-link" in links. Elements that are no part of an article are left out, with a "gap" for each of their
-    tags. Unclosed elements end with the element around them."""
-    found: list[tuple[str, str, str]] = []
+    tags, unless the ``whole`` page is asked for. Unclosed elements end with the element around them."""
+    found: list[tuple[str, str, str, Zone | None]] = []
     stack: list[tuple[str, bool]] = []
-    zones = content = links = at = 0
-    has_content = re.search(r"<(?:article|main)[\s>]", page, re.I) is not None
+    zones: list[Zone] = []
+    zone: Zone | None = None
+    content = links = at = outside = 0
+    content_outside: set[str] = set()
+    opened = dict.fromkeys(CONTENT, 0)
 
     def pop() -> None:
-        nonlocal zones, content, links
-        name, zone = stack.pop()
-        zones -= zone
+        nonlocal zone, content, links
+        name, is_zone = stack.pop()
+        zone = zone.around if is_zone else zone
+        if name in CONTENT:
+            opened[name] -= 1
         content -= name in CONTENT
         links -= name == "a"
 
@@ -99,13 +139,18 @@ def events(page: str) -> list[tuple[str, str, str]]:
                 return
 
     def text(upto: int) -> None:
-        if zones:
-            return
+        nonlocal outside
         if upto > at and (own := page[at:upto].strip()):
-            context = "main" if content else "outside" if has_content else "plain"
-            found.append(("text", context + "-link" * bool(links), own))
+            found.append(("text", ("main" if content else "plain") + "-link" * bool(links), own, zone))
+            words = 0 if links else len(own.split())
+            if zone is None:
+                outside += words
+            else:
+                zone.words += words
+            if content:
+                (content_outside if zone is None else zone.holds).update(name for name in CONTENT if words and opened[name])
         elif upto > at:
-            found.append(("text", "space", " "))
+            found.append(("text", "space", " ", zone))
 
     while True:
         start = page.find("<", at)
@@ -123,7 +168,7 @@ def events(page: str) -> list[tuple[str, str, str]]:
             continue
         if start > at and page[start - 1].isspace() or page[event.end():event.end() + 1].isspace():
             text(start)
-            found.append(("text", "space", " "))
+            found.append(("text", "space", " ", None))
         else:
             text(start)
         at = event.end()
@@ -131,7 +176,7 @@ def events(page: str) -> list[tuple[str, str, str]]:
             continue
         closing, name, attributes = event.group(1), event.group(2).lower(), event.group(3)
         what = "" if name in INLINE and name != "br" else "space" if name in ("br", "td", "th") else "block"
-        found.append(("tag", name, "gap" if zones and what else what))
+        found.append(("tag", name, what, zone))
         if closing:
             close(name)
         elif name in RAW:
@@ -145,15 +190,30 @@ def events(page: str) -> list[tuple[str, str, str]]:
         elif name not in VOID and not attributes.endswith("/"):
             if name not in INLINE:
                 close("p", ("div", "section", "article", "main", "td", "li", "blockquote"))
+            if name == "body":
+                close("head")
             if name in ("li", "tr", "td", "th", "dt", "dd", "option"):
                 close(name, ("ul", "ol", "table", "dl", "select"))
-            zone = is_boilerplate(name, attributes, bool(content))
-            stack.append((name, zone))
-            zones += zone
+            kind = "" if whole else zone_kind(name, attributes, bool(content))
+            if kind:
+                zone = Zone(name, kind, zone)
+                zones.append(zone)
+            stack.append((name, bool(kind)))
             content += name in CONTENT
+            if name in CONTENT:
+                opened[name] += 1
             links += name == "a"
     text(len(page))
-    return found
+    settle(zones, outside, content_outside)
+    kept = [(kind, name, value, own is None or own.stays) for kind, name, value, own in found]
+    has_content = any(stays and kind == "text" and name.startswith("main") for kind, name, _, stays in kept)
+    shown = []
+    for kind, name, value, stays in kept:
+        if kind == "tag":
+            shown.append((kind, name, value if stays or not value else "gap"))
+        elif stays:
+            shown.append((kind, name.replace("plain", "outside") if has_content else name, value))
+    return shown
 
 
 def fit(labelled: list[str]) -> dict[str, float]:
@@ -208,9 +268,12 @@ def best_region(found: list[tuple[str, str, str]], weights: dict[str, float]) ->
 
 
 def main_text(page: str) -> str:
-    """The blocks of the best region, joined by line feeds."""
+    """The blocks of the best region, joined by line feeds. A page that has none is looked at again with nothing left out."""
     found = events(page)
     first, last = best_region(found, fitted())
+    if first == last:
+        found = events(page, whole=True)
+        first, last = best_region(found, fitted())
     blocks: list[list[str]] = [[]]
     for kind, name, value in found[first:last]:
         if kind == "text":

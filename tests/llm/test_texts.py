@@ -182,6 +182,25 @@ def test_pages_of_many_kinds():
         assert text.split() == pages.main_text("<article>" + main + "</article>").split()
 
 
+def test_pages_in_wrappers():
+    words = "The old mill stands at the end of the lane and has not been used for years."
+    body = f"<p>{words}</p><p>Children play there in summer.</p>"
+    menu, side = "<nav><a href='/'>Home</a> <a href='/n'>News</a></nav>", "<div class='sidebar'><p>Popular posts</p></div>"
+    main = words + "\nChildren play there in summer."
+    for page in (
+        f"<body><form method='post'>{menu}<div class='text'>{body}</div>{side}<footer>All rights reserved</footer></form></body>",
+        f"<body>{menu}<div id='content-sidebar-wrap'><div>{body}</div>{side}</div><footer>The paper</footer></body>",
+        f"<body class='x'>{menu}<div class='has-sidebar'><main>{body}</main>{side}</div></body>",
+        f"<body><form><div class='post-with-comments'><article>{body}</article><section class='comments'><p>Nice mill</p></section></div></form>",
+        f"<html><head><title>Mill</title><body><div class='header-fixed'><article>{body}</article></div></body></html>",
+        f"<body><article>{body}</article><section class='comments'>" + "<article><p>Nice old mill, I was there too</p></article>" * 9 + "</section>",
+        f"<body><div class='text'>{body}</div><aside><article><p>Related card</p></article></aside></body>",
+        f"<body><div class='text'>{body}</div><div class='comments'>" + "<p>Nice old mill, I was there too</p>" * 9 + "</div></body>",
+        f"<body><main></main><aside>{body}</aside></body>",
+    ):
+        assert pages.main_text(page) == main, page
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>", "t"), (None, None, None, "t"), (1, "u", "<p>a</p>", "t"), (2, "v", "<p>" * 50000, "t")],
                                "page_id long, url string, html string, text string")
