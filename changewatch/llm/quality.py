@@ -294,10 +294,12 @@ def scores(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], F.col("lang").alias("model"), "n_bytes", "nll")
 
 
-def trusted_ids(labels: DataFrame, key: str = "doc_id", quality: str = "quality") -> DataFrame:
-    """Ids all of whose labels say good, and whether an id is held out from counting."""
+def trusted_ids(labels: DataFrame, key: str = "doc_id", quality: str = "quality", toxic: str = "toxic") -> DataFrame:
+    """Ids all of whose labels say good and none of whose says toxic, and whether an id is held out from counting. Labels
+    need not have a column for toxic."""
+    harm = F.coalesce(F.col(toxic), F.lit(0)) if toxic in labels.columns else F.lit(0)
     good = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias(key)).agg(
-        F.min(F.coalesce(F.col(quality), F.lit(0))).alias("q")).where("q = 1")
+        F.min(F.coalesce(F.col(quality), F.lit(0))).alias("q"), F.max(harm).alias("t")).where("q = 1 AND t = 0")
     return good.select(key, (F.pmod(F.xxhash64(key), F.lit(HELD_OUT)) == 0).alias("held_out"))
 
 

@@ -289,3 +289,8 @@ def test_quality_decisions(spark):
     assert all(keep[i] for i in range(200)) and not any(keep[i] for i in range(200, 220))
     assert keep[300] and keep[301] and keep[302]
     assert quality.judged(docs.where("false"), labels.where("false")).collect() == []
+
+
+def test_toxic_text_is_not_trusted(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, None), (4, 1, 0), (4, 1, 1), (5, 0, 0)], "doc_id long, quality int, toxic int")
+    assert sorted(r.doc_id for r in quality.trusted_ids(labels).collect()) == [1, 3]
