@@ -32,6 +32,7 @@ CHUNK = 8 << 20  # bytes of text in a chunk
 SEGMENT = 1 << 19
 HELD_OUT = 5  # one in so many trusted documents sets thresholds instead of counts
 LOW = 2  # orders that go everywhere
+POOLED = "\uffff"  # stands for the model of all languages
 
 
 def mask(order: int) -> int:
@@ -310,10 +311,27 @@ def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     ``excess`` is how far the mean log loss of a document lies over the median of its language, drawn towards it by ``weight`` bytes,
     as the mean of a short text says little. Threshold of a language: the median excess of its held-out trusted documents
     plus ``spread`` times the distance from there to their 0.9 quantile, but at least ``margin``. A document is kept if its
-    excess is no larger. A language without held-out documents has no threshold and keeps all; as do empty texts."""
+    excess is no larger. A language that lacks trusted documents to count or to hold out, null among them, is judged by a model and a
+    threshold of all trusted documents. ``model`` is the language in either case. Empty texts are kept, and all if fewer than two documents are
+    trusted."""
     good = written(trusted_ids(labels, key), "trusted")
     carry = carry or [key]
-    found = written(scores(docs, good.where("NOT held_out").select(key), key, text, lang, carry), "scores")
+    named = docs.withColumn("own_language", F.coalesce(F.col(lang).cast("string"), F.lit("")))
+    ident = F.col(key).cast("long")
+    known = written(named.select(ident.alias("known"), "own_language").join(good, F.col("known") == F.col(key)).select(
+        "known", "own_language", "held_out"), "languages")
+    if known.where("held_out").isEmpty():  # so few that none is held out: one is, so that there is a threshold
+        one = known.agg(F.min("known")).head()[0]
+        good, known = (x.withColumn("held_out", F.col(name) == F.lit(one)) for x, name in ((good, key), (known, "known")))
+    served = written(known.groupBy("own_language").agg(F.count_if("held_out").alias("held"), F.count(F.lit(1)).alias("n")).where(
+        "held > 0 AND n > held").select(F.col("own_language").alias("served")), "served")
+    named = named.join(served, F.col("own_language") == F.col("served"), "left").withColumn(
+        "model_of", F.coalesce("served", F.lit(POOLED))).withColumn("pooled_copy", F.lit(False))
+    if not named.where("served IS NULL").isEmpty():  # trusted documents of the other languages count here, too
+        copies = named.where("served IS NOT NULL").join(good.select(F.col(key).alias("known")), F.col("known") == ident, "left_semi")
+        named = named.unionByName(copies.withColumns({"model_of": F.lit(POOLED), "pooled_copy": F.lit(True)}))
+    found = written(scores(named, good.where("NOT held_out").select(key), key, text, "model_of",
+                           [*carry, "own_language", "pooled_copy"]), "scores")
     held = found.join(good.where("held_out").select(F.col(key).alias("held")), F.col(key).cast("long") == F.col("held"))
     loss = F.col("nll") / (F.col("n_bytes") + 1)
     medians = written(held.groupBy("model").agg(F.percentile_approx(loss, 0.5, 10000).alias("median")), "medians")
@@ -322,6 +340,6 @@ def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     limits = over.select(F.col("model").alias("of"), (F.col("at")[0] + F.greatest(
         F.lit(margin), spread * (F.col("at")[1] - F.col("at")[0]))).alias("threshold"))
     bounds = written(medians.join(limits, F.col("model") == F.col("of")).select("of", "median", "threshold"), "bounds")
-    marked = found.join(bounds, F.col("model") == F.col("of"), "left").withColumn("excess", excess)
+    marked = found.where("NOT pooled_copy").join(bounds, F.col("model") == F.col("of"), "left").withColumn("excess", excess)
     keep = (F.col("n_bytes") == 0) | F.coalesce(F.col("excess") <= F.col("threshold"), F.lit(True))
-    return marked.select(*carry, "model", "n_bytes", F.exp(loss).alias("perplexity"), "excess", "threshold", keep.alias("keep"))
+    return marked.select(*carry, F.col("own_language").alias("model"), "n_bytes", F.exp(loss).alias("perplexity"), "excess", "threshold", keep.alias("keep"))

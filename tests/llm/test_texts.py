@@ -294,3 +294,17 @@ def test_quality_decisions(spark):
 def test_toxic_text_is_not_trusted(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, None), (4, 1, 0), (4, 1, 1), (5, 0, 0)], "doc_id long, quality int, toxic int")
     assert sorted(r.doc_id for r in quality.trusted_ids(labels).collect()) == [1, 3]
+
+
+def test_languages_without_trusted_text_are_judged_by_all(spark):
+    rng = random.Random(9)
+    good = lambda: " ".join(rng.choice(["the", "cat", "sat", "on", "mat", "and", "dog"]) for _ in range(80))
+    junk = lambda: "".join(rng.choice("#$%&@!XQZ") for _ in range(300))
+    rows = [(i, good(), "en") for i in range(60)] + [(i, good(), None if i % 2 else "xx") for i in range(60, 80)]
+    rows += [(i, junk(), (None, "xx", "en")[i % 3]) for i in range(80, 110)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for trusted in (range(60), range(4)):  # of range(4), the hash may hold none out
+        labels = spark.createDataFrame([(i, 1) for i in trusted], "doc_id long, quality int")
+        found = {r.doc_id: r for r in quality.judged(docs, labels).withColumnRenamed("keep", "kept").collect()}
+        assert {i: r.model for i, r in found.items()} == {i: lang or "" for i, _, lang in rows}
+        assert {i for i, r in found.items() if r.kept} == set(range(80))
