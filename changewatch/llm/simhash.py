@@ -249,8 +249,11 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id"
     right = heads.select("bucket", F.col("root").alias("other_root"), "least", "most")
     met_roots = written(left.join(right, "bucket").where("root <> other_root").where(
         (F.col("lead_least") <= F.col("most")) & (F.col("own_most") >= similarity * F.col("least") - SLACK)).select(
-        "bucket", "root", "other_root"), "roots")
-    small = written(met_roots.join(placed.where("leads").select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).select(
+        "bucket", "root", "other_root", "least", "most"), "roots")
+    least_needed = similarity / (1 + similarity) * (F.col("size") + F.greatest("size", "least")) - SLACK
+    small = written(met_roots.join(placed.where("leads").select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).where(
+        (F.col("size") <= F.col("most")) & (F.col("size") >= similarity * F.col("least") - SLACK)
+        & (F.col("size") - F.col("place") >= least_needed)).select(
         "bucket", F.col("other_root").alias("root"), F.col("key").alias("other"), F.col("size").alias("other_size"),
         F.col("place").alias("other_place")), "small")
     # the pair's first common shingle leaves room for all that they must share
