@@ -26,12 +26,19 @@ class Words:
     The file's pre-tokenizer never joins characters across white space and its other steps look at one character
     or one run of marks at a time, so the ids of a text are those of its words between ASCII white space. A word of
     Latin letters alone is one unit that ends with an end-of-word piece, and so is a full stop or comma after
-    it. Such words are encoded many to a text and told apart by those pieces; all others one by one."""
+    it. Such words are encoded many to a text and told apart by those pieces; all others one by one.
 
-    def __init__(self, path: str, most: int = 300_000):
+    What is known comes in two generations of at most ``most`` bytes each, counted with what Python needs for an entry. When the younger one
+    is full it becomes the older one, whose words return to the younger one as they are met again; words not met since then go."""
+
+    ENTRY = 230  # bytes of an entry besides the word and its ids
+
+    def __init__(self, path: str, most: int = 96 << 20):
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.size = 0
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -76,12 +83,16 @@ class Words:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > self.most:
-            self.known = {}
+        if self.size > self.most:
+            self.older, self.known, self.size = self.known, {}, 0
         cut = [self.words(text) for text in texts]
         words = [word for own in cut for word in own]
         ids = list(map(self.known.get, words))
-        self.learn({word for word, own in zip(words, ids) if own is None})
+        fresh = {word for word, own in zip(words, ids) if own is None}
+        again = fresh & self.older.keys()
+        self.known.update((word, self.older[word]) for word in again)
+        self.learn(fresh - again)
+        self.size += sum(self.ENTRY + len(word) + len(self.known[word]) for word in fresh)
         ids = [own if own is not None else self.known[word] for word, own in zip(words, ids)]
         found, start = [], 0
         for own in cut:
