@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changewatch.llm import chat, minhash, packing, pages, pieces, quality, repeats, simhash, tokens, topk
+from changewatch.llm import (
+    chat, languages, minhash, packing, pages, pieces, quality, repeats, simhash, tokens, topk, turns, whitening)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,6 +59,19 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(table(spark, folder, "documents"))
 
 
+def op11_structure(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return turns.audits(turns.repaired(turns.damaged(conversations)), conversations)
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_language(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.identified(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_preferences": op2_preferences,
@@ -69,8 +83,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_main_text": op9_main_text,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_structure": op11_structure,
+    "op12_whitening": op12_whitening,
+    "op13_language": op13_language,
 }
 SQL: dict[str, str] = {
     "op1_topk": topk.SQL,
     "op2_preferences": chat.SQL,
+    "op11_structure": turns.SQL,
 }
