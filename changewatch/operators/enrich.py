@@ -28,8 +28,12 @@ def changes(tables: Tables) -> DataFrame:
     df = df.join(queries.change_flags(tables), "rc_id", "left")
     df = df.join(queries.revision_scores(tables),
                  queries.revision_key() == F.col("oresc_rev"), "left").drop("oresc_rev")
-    df = queries.with_comment(queries.with_editor(df, tables), tables)
-    return with_summary(df).withColumns({
+    return finished(queries.with_comment(queries.with_editor(df, tables), tables))
+
+
+def finished(joined: DataFrame) -> DataFrame:
+    """Joined changes with the summary parsed; a change without flags has neither."""
+    return with_summary(joined).withColumns({
         "reverted": F.coalesce("reverted", F.lit(False)),
         "suggested_edit": F.coalesce("suggested_edit", F.lit(False)),
     }).select(*ENRICHED_COLUMNS)

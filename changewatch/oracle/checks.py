@@ -543,6 +543,24 @@ _report("delay_percentiles_by_language", ["progress"], """
           FROM progress WHERE language IS NOT NULL AND delay_seconds IS NOT NULL GROUP BY 1) p""")
 
 
+# -- the same from tables stored otherwise
+for _name, _same in {"patrol_log_stored_by_day": "patrol_log", "edits_by_date_stored_by_day": "edits_by_date",
+                     "changes_colocated": "changes"}.items():
+    _report(_name, *REPORTS[_same])
+
+_report("editors_by_span_sketched", ["changes"], f"""
+    SELECT days, series, count(DISTINCT actor_name) AS n, true AS close
+    FROM (SELECT *, unnest([1, 7, 14, 28]) AS days, {_EDITOR} AS series FROM changes WHERE {IN_WINDOW}) s
+    WHERE date_diff('day', CAST(time AS DATE), CAST({TODAY} AS DATE)) <= days GROUP BY 1, 2""")
+_report("delay_percentiles_sketched", ["progress"], """
+    SELECT language, CAST(unnest(range(0, 101)) AS INT) AS pct, true AS close
+    FROM (SELECT DISTINCT language FROM progress WHERE language IS NOT NULL AND delay_seconds IS NOT NULL) l""")
+_report("most_frequent_values", ["changes"], " UNION ALL ".join(f"""
+    SELECT * FROM (SELECT '{what}' AS what, {column} AS value, count(*) AS n FROM changes
+    WHERE {column} IS NOT NULL AND {where} GROUP BY 2 ORDER BY n DESC, value LIMIT 10) {what}s""" for what, column, where in (
+    ("language", "summary_param1", f"summary_action IN {TERMS}"), ("item", "rc_title", "true"), ("editor", "actor_name", "true"))))
+
+
 def _steps(names: list[str]) -> list[str]:
     """Views that ``names`` need, each after the ones it reads; derived tables are left out."""
     order: list[str] = []
