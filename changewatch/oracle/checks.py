@@ -548,6 +548,9 @@ for _name, _same in {"patrol_log_stored_by_day": "patrol_log", "edits_by_date_st
                      "changes_colocated": "changes"}.items():
     _report(_name, *REPORTS[_same])
 
+_report("worklists_from_day_partials", ["changes"], " UNION ALL ".join(
+    f"SELECT '{'suggested-edit' if span == 'suggested' else span}' AS span, * FROM ({REPORTS[f'worklist_{span}'][1]}) list_{span}"
+    for span in ("today", "3d", "7d", "14d", "suggested")) + f" UNION ALL SELECT 'all' AS span, * FROM ({REPORTS['worklist_all'][1]}) list_all")
 _report("editors_by_span_sketched", ["changes"], f"""
     SELECT days, series, count(DISTINCT actor_name) AS n, true AS close
     FROM (SELECT *, unnest([1, 7, 14, 28]) AS days, {_EDITOR} AS series FROM changes WHERE {IN_WINDOW}) s

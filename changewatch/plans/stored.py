@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from changewatch.config import Settings
 from changewatch.functions.values import stamp_literal
 from changewatch.operators import enrich
-from changewatch.plans import sketched, trends
+from changewatch.plans import incremental, sketched, trends
 from changewatch.sources import layout
 from changewatch.sources.readers import Tables
 
@@ -52,3 +52,9 @@ def most_frequent(spark: SparkSession, changes: DataFrame, settings: Settings) -
     by_day = {what: _kept(sketched.frequent_by_day(rows, value), what, folder)
               for what, (rows, value) in sketched.frequent_lists(changes).items()}
     return sketched.most_frequent(changes, by_day, settings)
+
+
+def worklists(spark: SparkSession, changes: DataFrame, settings: Settings) -> DataFrame:
+    partials = incremental.DayPartials(spark, f"{layout.work_folder(spark)}/partials")
+    partials.refresh(changes)
+    return incremental.worklists(partials.read(), changes, settings)
