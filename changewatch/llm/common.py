@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -25,16 +26,59 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_open: list[list[str]] = []  # the tables of each scope that is open, the innermost last
+_left: dict[str, list[str]] = {}  # by application, what the last stage's result may still read
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` as a table in the shared folder, read back. It cuts the lineage, survives lost executors and is
-    computed once however often it is read. The tables belong to the application and go with its checkpoint
-    folder."""
+    computed once however often it is read. Its shuffle files go as soon as it is written. Inside of ``scratch`` the table goes
+    with that scope, or with the next outer one if it is to ``keep``; others go with the application's checkpoint folder."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(REMOVE_SHUFFLES)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(REMOVE_SHUFFLES, before)
+    if scopes := _open[:-1] if keep else _open:
+        scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, paths: list[str]) -> None:
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are removed at the end, but for those to keep. Nothing lazy that reads them may leave."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        removed(spark, _open.pop())
+
+
+@contextmanager
+def stage_tables(spark: SparkSession, docs: DataFrame) -> Iterator[None]:
+    """For a stage of a pipeline, whose lazy result is written and read again before the next stage: first removes what the stage
+    before has left, unless ``docs`` reads it still, as where its result was handed on unwritten."""
+    application = spark.sparkContext.applicationId
+    left, read = _left.pop(application, []), docs.inputFiles()
+    used = [path for path in left if any(path.split(":", 1)[-1].lstrip("/") in file for file in read)]
+    removed(spark, [path for path in left if path not in used])
+    _open.append([])
+    try:
+        yield
+    finally:
+        _left[application] = used + _open.pop()
+
+
 _shipped: set[str] = set()
 
 

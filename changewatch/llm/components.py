@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from changewatch.llm.common import written
+from changewatch.llm.common import scratch, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,14 +18,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = written(links.select(larger, smaller).where("a <> b").distinct(), "edges")
     seen = None
     while True:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = written(large.distinct(), "large")
-        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = large.join(least, "a").select(F.explode(F.array(
-            F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = written(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
+        with scratch(links.sparkSession):
+            both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
+            least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+            large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+            large = written(large.distinct(), "large")
+            least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+            small = large.join(least, "a").select(F.explode(F.array(
+                F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+            edges = written(small.select("e.a", "e.b").where("a <> b").distinct(), "edges", keep=True)
         state = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
         if state == seen:
             break

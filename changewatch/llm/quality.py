@@ -21,9 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from changewatch.llm.common import mapped, ship, text_of, tidy, total_bytes, written
+from changewatch.llm.common import mapped, scratch, ship, text_of, tidy, total_bytes, written
 
 ORDER = 5
 BEGIN, END = b"\xff", b"\xfe"  # bytes that UTF-8 never has
@@ -305,41 +305,65 @@ def trusted_ids(labels: DataFrame, key: str = "doc_id", quality: str = "quality"
 
 
 def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-           carry: list[str] | None = None, weight: int = 200, spread: float = 4.0, margin: float = 0.2) -> DataFrame:
-    """Columns of ``scores`` and perplexity (of a byte), excess, threshold and keep.
+           weight: int = 200, spread: float = 4.0, margin: float = 0.2) -> DataFrame:
+    """key, model, n_bytes, perplexity (of a byte), excess, threshold and keep of every row.
 
     ``excess`` is how far the mean log loss of a document lies over the median of its language, drawn towards it by ``weight`` bytes,
     as the mean of a short text says little. Threshold of a language: the median excess of its held-out trusted documents
     plus ``spread`` times the distance from there to their 0.9 quantile, but at least ``margin``. A document is kept if its
     excess is no larger. A language that lacks trusted documents to count or to hold out, null among them, is judged by a model and a
     threshold of all trusted documents. ``model`` is the language in either case. Empty texts are kept, and all if fewer than two documents are
-    trusted."""
-    good = written(trusted_ids(labels, key), "trusted")
-    carry = carry or [key]
-    named = docs.withColumn("own_language", F.coalesce(F.col(lang).cast("string"), F.lit("")))
-    ident = F.col(key).cast("long")
-    known = written(named.select(ident.alias("known"), "own_language").join(good, F.col("known") == F.col(key)).select(
-        "known", "own_language", "held_out"), "languages")
-    if known.where("held_out").isEmpty():  # so few that none is held out: one is, so that there is a threshold
-        one = known.agg(F.min("known")).head()[0]
-        good, known = (x.withColumn("held_out", F.col(name) == F.lit(one)) for x, name in ((good, key), (known, "known")))
-    served = written(known.groupBy("own_language").agg(F.count_if("held_out").alias("held"), F.count(F.lit(1)).alias("n")).where(
-        "held > 0 AND n > held").select(F.col("own_language").alias("served")), "served")
-    named = named.join(served, F.col("own_language") == F.col("served"), "left").withColumn(
-        "model_of", F.coalesce("served", F.lit(POOLED))).withColumn("pooled_copy", F.lit(False))
-    if not named.where("served IS NULL").isEmpty():  # trusted documents of the other languages count here, too
-        copies = named.where("served IS NOT NULL").join(good.select(F.col(key).alias("known")), F.col("known") == ident, "left_semi")
-        named = named.unionByName(copies.withColumns({"model_of": F.lit(POOLED), "pooled_copy": F.lit(True)}))
-    found = written(scores(named, good.where("NOT held_out").select(key), key, text, "model_of",
-                           [*carry, "own_language", "pooled_copy"]), "scores")
-    held = found.join(good.where("held_out").select(F.col(key).alias("held")), F.col(key).cast("long") == F.col("held"))
-    loss = F.col("nll") / (F.col("n_bytes") + 1)
-    medians = written(held.groupBy("model").agg(F.percentile_approx(loss, 0.5, 10000).alias("median")), "medians")
-    excess = (loss - F.col("median")) * (F.col("n_bytes") + 1) / (F.col("n_bytes") + 1 + weight)
-    over = held.join(medians, "model").groupBy("model").agg(F.percentile_approx(excess, [0.5, 0.9], 10000).alias("at"))
-    limits = over.select(F.col("model").alias("of"), (F.col("at")[0] + F.greatest(
-        F.lit(margin), spread * (F.col("at")[1] - F.col("at")[0]))).alias("threshold"))
-    bounds = written(medians.join(limits, F.col("model") == F.col("of")).select("of", "median", "threshold"), "bounds")
+    trusted. Other columns are not looked at, whatever their names; null keys are judged and never trusted; repeated rows are judged
+    each; an empty table gives an empty one."""
+    found = _judged(docs, labels, [key], key, text, lang, weight, spread, margin)
+    return found.select(F.col("c0").alias(key), F.col("own_language").alias("model"), "n_bytes", "perplexity", "excess", "threshold", "keep")
+
+
+def kept(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
+         weight: int = 200, spread: float = 4.0, margin: float = 0.2) -> DataFrame:
+    """The rows that ``judged`` keeps, with all their columns as they were. Columns travel by position, so their names can be any."""
+    found = _judged(docs, labels, docs.columns, key, text, lang, weight, spread, margin).where("keep")
+    return found.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
+
+
+def quoted(name: str) -> Column:
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, carry: list[str], key: str, text: str, lang: str,
+            weight: int, spread: float, margin: float) -> DataFrame:
+    """The columns of ``carry`` as c0, c1, ... and what ``judged`` says. The tables that it needs on the way go at the end."""
+    spark = docs.sparkSession
+    with scratch(spark):
+        good = written(trusted_ids(labels, key).toDF("good", "held_out"), "trusted")
+        ident, own_text = quoted(key).cast("long"), [] if text in carry else [text_of(text).alias("text")]
+        text_name = "text" if own_text else f"c{carry.index(text)}"  # a text travels once
+        carried = [f"c{i}" for i in range(len(carry))]
+        named = docs.select(*[quoted(name).alias(f"c{i}") for i, name in enumerate(carry)], *own_text, ident.alias("id"),
+                            F.coalesce(quoted(lang).cast("string"), F.lit("")).alias("own_language"))
+        known = written(named.select("id", "own_language").join(good, F.col("id") == F.col("good")).select(
+            "id", "own_language", "held_out"), "languages")
+        if known.where("held_out").isEmpty():  # so few that none is held out: one is, so that there is a threshold
+            one = known.agg(F.min("id")).head()[0]
+            good, known = (x.withColumn("held_out", F.col(name) == F.lit(one)) for x, name in ((good, "good"), (known, "id")))
+        served = written(known.groupBy("own_language").agg(F.count_if("held_out").alias("held"), F.count(F.lit(1)).alias("n")).where(
+            "held > 0 AND n > held").select(F.col("own_language").alias("served")), "served")
+        named = named.join(served, F.col("own_language") == F.col("served"), "left").withColumn(
+            "model_of", F.coalesce("served", F.lit(POOLED))).withColumn("pooled_copy", F.lit(False))
+        if not named.where("served IS NULL").isEmpty():  # trusted documents of the other languages count here, too
+            copies = named.where("served IS NOT NULL").join(good.select("good"), F.col("good") == F.col("id"), "left_semi")
+            named = named.unionByName(copies.withColumns({"model_of": F.lit(POOLED), "pooled_copy": F.lit(True)}))
+        learnt = good.where("NOT held_out").select(F.col("good").alias("id"))
+        found = scores(named, learnt, "id", text_name, "model_of", [*carried, "id", "own_language", "pooled_copy"])
+        found = written(found, "scores", keep=True)
+        held = found.join(good.where("held_out").select(F.col("good").alias("held")), F.col("id") == F.col("held"))
+        loss = F.col("nll") / (F.col("n_bytes") + 1)
+        medians = written(held.groupBy("model").agg(F.percentile_approx(loss, 0.5, 10000).alias("median")), "medians")
+        excess = (loss - F.col("median")) * (F.col("n_bytes") + 1) / (F.col("n_bytes") + 1 + weight)
+        over = held.join(medians, "model").groupBy("model").agg(F.percentile_approx(excess, [0.5, 0.9], 10000).alias("at"))
+        limits = over.select(F.col("model").alias("of"), (F.col("at")[0] + F.greatest(
+            F.lit(margin), spread * (F.col("at")[1] - F.col("at")[0]))).alias("threshold"))
+        bounds = written(medians.join(limits, F.col("model") == F.col("of")).select("of", "median", "threshold"), "bounds", keep=True)
     marked = found.where("NOT pooled_copy").join(bounds, F.col("model") == F.col("of"), "left").withColumn("excess", excess)
     keep = (F.col("n_bytes") == 0) | F.coalesce(F.col("excess") <= F.col("threshold"), F.lit(True))
-    return marked.select(*carry, F.col("own_language").alias("model"), "n_bytes", F.exp(loss).alias("perplexity"), "excess", "threshold", keep.alias("keep"))
+    return marked.select(*carried, "own_language", "n_bytes", F.exp(loss).alias("perplexity"), "excess", "threshold", keep.alias("keep"))

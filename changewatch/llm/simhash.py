@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changewatch.llm.common import mapped, slices, text_of, written
+from changewatch.llm.common import mapped, scratch, slices, text_of, written
 from changewatch.llm.components import components
 
 SEED = 42
@@ -191,12 +191,26 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id"
     rarer shingles: two pairs a row, which make one component of a family. Then all pairs of a bucket that are in different components are
     compared; only a bucket of many documents that pass the filters and are not alike costs the square of its size.
 
-    Each pair is compared by all its shingles, as 32-bit hashes. Null keys have no group; null texts are
+    Each pair is compared by all its shingles, as 32-bit hashes: what is found holds up to their collisions. Null keys have no group; null texts are
     empty; rows with one key are one document if their texts are alike."""
     if not 0 < similarity <= 1:
         raise ValueError("the similarity is above 0 and at most 1")
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
-    told = docs.sparkSession.sparkContext.broadcast(common_shingles(rows))
+    spark = docs.sparkSession
+    with scratch(spark):
+        equal, shared = shared_shingles(rows, similarity)
+        known = written(components(close_to_heads(rows, shared, similarity)), "known")
+        linked = rest_of_buckets(rows, shared, known, similarity).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        found = written(components(linked.union(equal)), "groups", keep=True)
+    return found.select(F.col("node").alias(key), F.col("root").alias("group"))
+
+
+def shared_shingles(rows: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs a, b of documents with equal sets of shingles, b the first of them. And of the first of each, the prefix shingles that others have in
+    theirs, too: bucket (the shingle), key, size, place in the order of its shingles, and whether it is a leading one."""
+    spark = rows.sparkSession
+    with scratch(spark):
+        told = spark.sparkContext.broadcast(common_shingles(rows))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own, texts in slices(batches, "text", 1 << 22):
@@ -211,59 +225,71 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id"
                 [own.column("key"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(leads, pa.int32()),
                  pa.array(buckets, pa.list_(pa.int64()))], ["key", "digest", "size", "lead", "buckets"])
 
-    marked = written(mapped(rows, mark, "key long, digest binary, size int, lead int, buckets array<bigint>"), "marks")
-    firsts = written(marked.groupBy("digest").agg(F.min("key").alias("first")), "firsts")
-    equal = written(marked.select("key", "digest").join(firsts, "digest").select("key", "first").distinct(), "equal")
-    alone = marked.join(firsts.withColumnRenamed("first", "key"), ["digest", "key"], "left_semi")
-    listed = written(alone.select("key", "size", "lead", F.posexplode("buckets").alias("place", "bucket")).select(
-        "bucket", "key", "size", "place", (F.col("place") < F.col("lead")).alias("leads")), "listed")
-    # of one key with several texts, rows of one bucket count as two here, which costs work only
-    met = written(listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("any")).where("n > 1 AND any").select(
-        "bucket"), "met")
-    shared = written(listed.join(met, "bucket"), "shared")
-
-    def alike(a: str, b: str) -> Column:  # in size
-        return F.least(a, b) >= similarity * F.greatest(a, b) - SLACK
-
-    def pairs_of(found: DataFrame, name: str) -> DataFrame:
-        return written(found.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct(), name)
-
-    ends = written(shared.groupBy("bucket").agg(
-        F.min(F.struct("key", "size")).alias("low"),
-        F.min(F.struct("place", "size", "key")).alias("core")).select("bucket", F.array(
-            F.struct(F.col("low.key").alias("other"), F.col("low.size").alias("other_size")),
-            F.struct(F.col("core.key").alias("other"), F.col("core.size").alias("other_size"))).alias("ends")), "ends")
-    stars = shared.join(ends, "bucket").select("key", "size", F.explode("ends").alias("e")).select(
-        "key", "size", "e.other", "e.other_size").where("key <> other").where(alike("size", "other_size"))
-    compared = similar_pairs(rows, pairs_of(stars, "stars"), similarity)
-    linked = written(compared, "linked")
-    known = written(components(linked), "known")
-
-    # what is left: pairs of one bucket and different components, the smaller one's shingle a leading one
-    placed = written(shared.join(known.select(F.col("node").alias("key"), "root"), "key", "left").select(
-        *shared.columns, F.coalesce("root", "key").alias("root")), "placed")
-    heads = written(placed.groupBy("bucket", "root").agg(
-        F.min("size").alias("least"), F.max("size").alias("most"),
-        F.min(F.when(F.col("leads"), F.col("size"))).alias("lead_least")), "heads")
-    left = heads.where("lead_least IS NOT NULL").select("bucket", "root", "lead_least", F.col("most").alias("own_most"))
-    right = heads.select("bucket", F.col("root").alias("other_root"), "least", "most")
-    met_roots = written(left.join(right, "bucket").where("root <> other_root").where(
-        (F.col("lead_least") <= F.col("most")) & (F.col("own_most") >= similarity * F.col("least") - SLACK)).select(
-        "bucket", "root", "other_root", "least", "most"), "roots")
-    least_needed = similarity / (1 + similarity) * (F.col("size") + F.greatest("size", "least")) - SLACK
-    small = written(met_roots.join(placed.where("leads").select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).where(
-        (F.col("size") <= F.col("most")) & (F.col("size") >= similarity * F.col("least") - SLACK)
-        & (F.col("size") - F.col("place") >= least_needed)).select(
-        "bucket", F.col("other_root").alias("root"), F.col("key").alias("other"), F.col("size").alias("other_size"),
-        F.col("place").alias("other_place")), "small")
-    # the pair's first common shingle leaves room for all that they must share
-    needed = similarity / (1 + similarity) * (F.col("size") + F.col("other_size")) - SLACK
-    room = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
-    rest = small.join(placed.select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).where(
-        (F.col("other_size") <= F.col("size")) & alike("size", "other_size") & (room >= needed))
-    linked = linked.union(similar_pairs(rows, pairs_of(rest, "rest"), similarity)).union(
-        equal.where("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")))
-    return components(linked).select(F.col("node").alias(key), F.col("root").alias("group"))
+    with scratch(spark):
+        with scratch(spark):
+            marked = written(mapped(rows, mark, "key long, digest binary, size int, lead int, buckets array<bigint>"), "marks")
+            firsts = written(marked.groupBy("digest").agg(F.min("key").alias("first")), "firsts")
+            pairs = written(marked.select("key", "digest").join(firsts, "digest").where("key <> first").select(
+                F.col("key").alias("a"), F.col("first").alias("b")).distinct(), "pairs", keep=True)
+            alone = marked.join(firsts.withColumnRenamed("first", "key"), ["digest", "key"], "left_semi")
+            listed = written(alone.select("key", "size", "lead", F.posexplode("buckets").alias("place", "bucket")).select(
+                "bucket", "key", "size", "place", (F.col("place") < F.col("lead")).alias("leads")), "listed", keep=True)
+        # of one key with several texts, rows of one bucket count as two here, which costs work only
+        met = written(listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("any")).where(
+            "n > 1 AND any").select("bucket"), "met")
+        return written(pairs, "equal", keep=True), written(listed.join(met, "bucket"), "shared", keep=True)
+
+
+def alike(a: str, b: str, similarity: float) -> Column:
+    """Whether sizes leave room for the similarity."""
+    return F.least(a, b) >= similarity * F.greatest(a, b) - SLACK
+
+
+def in_order(found: DataFrame) -> DataFrame:
+    """Distinct pairs a, b of key and other, the smaller one first."""
+    return found.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+
+
+def close_to_heads(rows: DataFrame, shared: DataFrame, similarity: float) -> DataFrame:
+    """Similar pairs a, b of which one is, in some bucket, the document of the smallest key or the one with the fewest rarer shingles."""
+    spark = rows.sparkSession
+    with scratch(spark):
+        ends = written(shared.groupBy("bucket").agg(
+            F.min(F.struct("key", "size")).alias("low"),
+            F.min(F.struct("place", "size", "key")).alias("core")).select("bucket", F.array(
+                F.struct(F.col("low.key").alias("other"), F.col("low.size").alias("other_size")),
+                F.struct(F.col("core.key").alias("other"), F.col("core.size").alias("other_size"))).alias("ends")), "ends")
+        stars = shared.join(ends, "bucket").select("key", "size", F.explode("ends").alias("e")).select(
+            "key", "size", "e.other", "e.other_size").where("key <> other").where(alike("size", "other_size", similarity))
+        return written(similar_pairs(rows, written(in_order(stars), "stars"), similarity), "linked", keep=True)
+
+
+def rest_of_buckets(rows: DataFrame, shared: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Similar pairs a, b of one bucket and different components in ``known``, the smaller one's shingle a leading one."""
+    spark = rows.sparkSession
+    with scratch(spark):
+        placed = written(shared.join(known.select(F.col("node").alias("key"), "root"), "key", "left").select(
+            *shared.columns, F.coalesce("root", "key").alias("root")), "placed")
+        heads = written(placed.groupBy("bucket", "root").agg(
+            F.min("size").alias("least"), F.max("size").alias("most"),
+            F.min(F.when(F.col("leads"), F.col("size"))).alias("lead_least")), "heads")
+        left = heads.where("lead_least IS NOT NULL").select("bucket", "root", "lead_least", F.col("most").alias("own_most"))
+        right = heads.select("bucket", F.col("root").alias("other_root"), "least", "most")
+        met_roots = written(left.join(right, "bucket").where("root <> other_root").where(
+            (F.col("lead_least") <= F.col("most")) & (F.col("own_most") >= similarity * F.col("least") - SLACK)).select(
+            "bucket", "root", "other_root", "least", "most"), "roots")
+        least_needed = similarity / (1 + similarity) * (F.col("size") + F.greatest("size", "least")) - SLACK
+        small = written(met_roots.join(placed.where("leads").select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).where(
+            (F.col("size") <= F.col("most")) & (F.col("size") >= similarity * F.col("least") - SLACK)
+            & (F.col("size") - F.col("place") >= least_needed)).select(
+            "bucket", F.col("other_root").alias("root"), F.col("key").alias("other"), F.col("size").alias("other_size"),
+            F.col("place").alias("other_place")), "small")
+        # the pair's first common shingle leaves room for all that they must share
+        needed = similarity / (1 + similarity) * (F.col("size") + F.col("other_size")) - SLACK
+        room = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+        rest = small.join(placed.select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).where(
+            (F.col("other_size") <= F.col("size")) & alike("size", "other_size", similarity) & (room >= needed))
+        return written(similar_pairs(rows, written(in_order(rest), "rest"), similarity), "rest-linked", keep=True)
 
 
 def similar_pairs(rows: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -295,5 +321,7 @@ def similar_pairs(rows: DataFrame, pairs: DataFrame, similarity: float) -> DataF
 def one_of_each(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents without those that have a near-duplicate with a smaller key in their group. Rows with null keys stay, rows that
     share a key stay or go together."""
-    later = similar_groups(docs, similarity, key=key, text=text).where(F.col(key) > F.col("group")).select(key)
-    return docs.join(written(later, "later"), key, "left_anti").select(*docs.columns)
+    with scratch(docs.sparkSession):
+        later = similar_groups(docs, similarity, key=key, text=text).where(F.col(key) > F.col("group")).select(key)
+        later = written(later, "later", keep=True)
+    return docs.join(later, key, "left_anti").select(*docs.columns)
