@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changewatch.config import Settings
 from changewatch.functions.actions import NO_CATEGORY
@@ -102,17 +102,23 @@ def uncategorized_summaries(changes: DataFrame) -> DataFrame:
         .select("rc_id", "rc_timestamp", "rc_title", "rc_this_oldid", "actor_name")
 
 
-def entries_in_scope(changes: DataFrame, log: DataFrame) -> DataFrame:
+def entries_in_scope(log: DataFrame, scope: Column) -> DataFrame:
     """Patrol entries from the oldest revision in scope on. The bound is a scalar subquery."""
-    oldest = changes.agg(F.min("rc_this_oldid")).scalar()
-    return log.filter(F.col("rc_curid") >= oldest)
+    return log.filter(F.col("rc_curid") >= scope.getField("oldest"))
+
+
+def scope_of(changes: DataFrame) -> Column:
+    """The oldest revision in scope, how many changes there are, and how many of them have a status that says reviewed: one scalar subquery."""
+    return changes.agg(F.struct(
+        F.min("rc_this_oldid").alias("oldest"), F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("rc_patrolled") == 1).alias("reviewed_status")).alias("scope")).scalar()
 
 
 def top_patrollers(changes: DataFrame, log: DataFrame) -> DataFrame:
-    """Patrol entries by reviewer and their share in percent."""
-    counted = entries_in_scope(changes, log).filter(F.col("patroller").isNotNull()) \
+    """Patrol entries by reviewer and their share in percent. The total is taken over the counted reviewers."""
+    counted = entries_in_scope(log, scope_of(changes)).filter(F.col("patroller").isNotNull()) \
         .groupBy("patroller").agg(F.count(F.lit(1)).alias("patrols"))
-    total = counted.agg(F.sum("patrols")).scalar()
+    total = F.sum("patrols").over(Window.partitionBy(F.lit(0)))  # a row for each reviewer
     return counted.withColumn("patrols_relative", percent(F.col("patrols"), total, 1))
 
 
@@ -127,11 +133,10 @@ def _progress(counts: DataFrame, template: str) -> DataFrame:
 
 def progress_totals(changes: DataFrame, log: DataFrame) -> DataFrame:
     """One row: patrol entries against changes in scope, and the number of changes whose status says
-    reviewed."""
-    entries = entries_in_scope(changes, log).agg(F.count(F.lit(1))).scalar()
-    counts = changes.agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.col("rc_patrolled") == 1)
-        .alias("reviewed_status")).withColumn("patrolled", entries)
+    reviewed. Changes are read once for their own numbers and the bound."""
+    scope = scope_of(changes)
+    counts = entries_in_scope(log, scope).agg(F.count(F.lit(1)).alias("patrolled")).withColumns({
+        "total": scope.getField("total"), "reviewed_status": scope.getField("reviewed_status")})
     # fixed values: this sentence and the next one
     return _progress(
         counts,
