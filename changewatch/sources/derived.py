@@ -1,8 +1,8 @@
 """Source tables derived from the ``events`` test table.
 
 Each table is one SQL text that Spark and DuckDB both run after a few function names are filled in,
-so a report and its SQL check start from the same rows. Tables of changes, editors, entries and
-blocks grow with ``events``; there are at most 397 items, eight languages and nine reviewers.
+so a report and its SQL check start from the same rows. Tables of changes, editors, entries, blocks and items grow with ``events``:
+397 items more for every 4,096 events, one of them hot among changes and links throughout; there are eight languages and nine reviewers.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                CASE WHEN k % 3 = 0 THEN 'en'
                     ELSE substring('deenfresitrunlpt', CAST(1 + 2 * (user_id % 8) AS INT), 2) END AS lang,
                CASE WHEN k % 3 = 1 THEN 4 ELSE user_id END AS editor,
-               CASE WHEN k % 3 = 2 THEN 78 ELSE (event_id * 7919) % 397 END AS n,
+               CASE WHEN k % 3 = 2 THEN 78 ELSE (event_id * 7919) % 397 + 397 * {div(event_id, 4096)} END AS n,
                CASE k % 10 WHEN 3 THEN 100000000 + event_id WHEN 7 THEN 20000000000 + event_id
                     ELSE 2000000000 + event_id END AS rev
         FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM {events}) e"""),
 
-    # up to 397 titles; k % 12 = 11 goes to five side namespaces; status 0, 1, 2
+    # k % 12 = 11 goes to five side namespaces; status 0, 1, 2
     "recentchanges": (["ev"], """
         SELECT event_id + 1 AS rc_id, {stamp(ts)} AS rc_timestamp,
                CAST(CASE WHEN k % 12 = 11 THEN CASE k % 5 WHEN 0 THEN 1198 WHEN 1 THEN 120
@@ -33,7 +33,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                    AS rc_namespace,
                CASE WHEN k = 47 THEN CASE WHEN event_id % 2 = 0 THEN 'Intro' ELSE 'Guide' END
                          || CAST(event_id % 3 AS STRING) || '/' || lang
-                    ELSE 'Q' || CAST(n * 400009 + 1 AS STRING) END
+                    ELSE 'Q' || CAST((n % 397) * 400009 + {div(n, 397)} + 1 AS STRING) END
                    AS rc_title,
                CASE WHEN event_type = 'signup' THEN 'mw.new' WHEN k = 61 THEN NULL
                     ELSE 'mw.edit' END AS rc_source,
@@ -188,10 +188,10 @@ DERIVED: dict[str, tuple[list[str], str]] = {
 
     # the items: number, title and how often events touch them
     "it": (["ev"], """
-        SELECT n, 'Q' || CAST(n * 400009 + 1 AS STRING) AS qid
+        SELECT n, 'Q' || CAST((n % 397) * 400009 + {div(n, 397)} + 1 AS STRING) AS qid
         FROM (SELECT DISTINCT n FROM ev) d"""),
     "entity_usage": (["it"], """
-        SELECT qid, CAST(100 + 7 * n AS DOUBLE) AS entity_usage_count FROM it"""),
+        SELECT qid, CAST(100 + 7 * (n % 397) AS DOUBLE) AS entity_usage_count FROM it"""),
     "request_links": (["it"], "SELECT qid AS title FROM it WHERE n % 13 = 0"),
     "triples": (["it", "ev"], """
         SELECT qid AS subject, 'statements' AS predicate, CAST(n % 9 AS STRING) AS object FROM it
@@ -201,9 +201,10 @@ DERIVED: dict[str, tuple[list[str], str]] = {
         UNION ALL SELECT qid, 'label@de', 'Name ' || CAST(n AS STRING) FROM it
         UNION ALL SELECT qid, 'label@fr', 'Q' || CAST(((n * 5) % 397) * 400009 + 1 AS STRING)
                   FROM it WHERE n % 4 = 0
-        UNION ALL SELECT DISTINCT 'Q' || CAST(((event_id * 31) % 397) * 400009 + 1 AS STRING),
+        UNION ALL SELECT DISTINCT 'Q' || CAST(((event_id * 31) % 397) * 400009 + {div(event_id, 4096)} + 1 AS STRING),
                          CASE WHEN k % 2 = 0 THEN 'P31' ELSE 'P279' END,
-                         'Q' || CAST(((event_id * 13) % 397) * 400009 + 1 AS STRING)
+                         'Q' || CAST(CASE WHEN k % 4 = 0 THEN 78 * 400009
+                                          ELSE ((event_id * 13) % 397) * 400009 + {div(event_id, 4096)} END + 1 AS STRING)
                   FROM ev WHERE k % 6 = 0
         UNION ALL SELECT 'page/' || qid, 'about', qid FROM it WHERE n % 2 = 0
         UNION ALL SELECT 'old/' || qid, 'sameAs', qid FROM it WHERE n % 5 = 0
@@ -232,6 +233,8 @@ DERIVED: dict[str, tuple[list[str], str]] = {
 _SPARK = {
     "{stamp(ts)}": "date_format(ts, 'yyyyMMddHHmmss')",
     "{stamp_after(ts, k)}": "date_format(ts + k * k * INTERVAL '1' MINUTE, 'yyyyMMddHHmmss')",
+    "{div(event_id, 4096)}": "(event_id div 4096)",
+    "{div(n, 397)}": "(n div 397)",
     "{div(user_id, 256)}": "(user_id div 256)",
     "{div(user_id, 10000)}": "(user_id div 10000)",
     "{div(u, 256)}": "(u div 256)",
@@ -241,6 +244,8 @@ _SPARK = {
 _DUCKDB = {
     "{stamp(ts)}": "strftime(ts, '%Y%m%d%H%M%S')",
     "{stamp_after(ts, k)}": "strftime(ts + to_minutes(CAST(k * k AS BIGINT)), '%Y%m%d%H%M%S')",
+    "{div(event_id, 4096)}": "(event_id // 4096)",
+    "{div(n, 397)}": "(n // 397)",
     "{div(user_id, 256)}": "(user_id // 256)",
     "{div(user_id, 10000)}": "(user_id // 10000)",
     "{div(u, 256)}": "(u // 256)",
