@@ -545,7 +545,7 @@ _report("delay_percentiles_by_language", ["progress"], """
 
 # -- the same from tables stored otherwise
 for _name, _same in {"patrol_log_stored_by_day": "patrol_log", "edits_by_date_stored_by_day": "edits_by_date",
-                     "changes_colocated": "changes"}.items():
+                     "changes_colocated": "changes", "change_scores_filtered": "change_scores"}.items():
     _report(_name, *REPORTS[_same])
 
 _report("worklists_from_day_partials", ["changes"], " UNION ALL ".join(

@@ -10,7 +10,7 @@ from changewatch.config import Settings
 from changewatch.operators import enrich
 from changewatch.plans import blocks, breakdowns, items, keyed, progress, scores, trends, worklists
 from changewatch.sinks import files
-from changewatch.sources import queries
+from changewatch.sources import queries, reduced
 from changewatch.sources.readers import Tables
 
 
@@ -43,7 +43,8 @@ def run(spark: SparkSession, tables: Tables, settings: Settings, out: str, work:
 
 
 def write_reports(spark: SparkSession, tables: Tables, settings: Settings, out: str, work: Work) -> None:
-    changes = work.stored(enrich.changes(tables), "changes")
+    with reduced.scope_filters(spark, reduced.keys_in_scope(tables)):
+        changes = work.stored(enrich.changes(tables), "changes")
     since = changes.agg(F.min("rc_timestamp")).scalar()
     log = work.stored(queries.patrol_log(tables, since), "patrol-log")
     delays = work.stored(enrich.patrol_progress(changes, log), "patrol-progress")

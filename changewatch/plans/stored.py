@@ -8,7 +8,7 @@ from changewatch.config import Settings
 from changewatch.functions.values import stamp_literal
 from changewatch.operators import enrich
 from changewatch.plans import incremental, sketched, trends
-from changewatch.sources import layout
+from changewatch.sources import layout, queries, reduced
 from changewatch.sources.readers import Tables
 
 
@@ -58,3 +58,12 @@ def worklists(spark: SparkSession, changes: DataFrame, settings: Settings) -> Da
     partials = incremental.DayPartials(spark, f"{layout.work_folder(spark)}/partials")
     partials.refresh(changes)
     return incremental.worklists(partials.read(), changes, settings)
+
+
+def scores_in_scope(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Scores of revisions in scope, from stored tables of which a filter drops the rest at the scan."""
+    folder = layout.work_folder(spark)
+    kept = {name: _kept(tables[name], name, folder) for name in ("recentchanges", "score", "score_model")}
+    stored = tables.replaced({name: lambda n=name: kept[n] for name in kept})
+    with reduced.scope_filters(spark, reduced.keys_in_scope(stored), least_scan="0"):
+        return _kept(queries.revision_scores(stored), "scores", folder)
