@@ -26,7 +26,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written its shuffle files go when it is done, and rows reach Python in batches of some MB, for texts of any usual length.
+WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 _open: list[list[str]] = []  # the tables of each scope that is open, the innermost last
 _left: dict[str, list[str]] = {}  # by application, what the last stage's result may still read
 
@@ -37,12 +38,14 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     with that scope, or with the next outer one if it is to ``keep``; others go with the application's checkpoint folder."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(REMOVE_SHUFFLES)
-    spark.conf.set(REMOVE_SHUFFLES, "true")
+    before = {name: spark.conf.get(name) for name in WHILE_WRITING}
     try:
+        for name, value in WHILE_WRITING.items():
+            spark.conf.set(name, value)
         df.write.parquet(path)
     finally:
-        spark.conf.set(REMOVE_SHUFFLES, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     if scopes := _open[:-1] if keep else _open:
         scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -122,6 +125,11 @@ def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def quoted(name: str) -> Column:
+    """A column whose name may have dots and marks in it."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def text_of(column: str) -> Column:
     """A text column, null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

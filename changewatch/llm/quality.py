@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changewatch.llm.common import mapped, scratch, ship, text_of, tidy, total_bytes, written
+from changewatch.llm.common import mapped, quoted, scratch, ship, text_of, tidy, total_bytes, written
 
 ORDER = 5
 BEGIN, END = b"\xff", b"\xfe"  # bytes that UTF-8 never has
@@ -326,10 +326,6 @@ def kept(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     return found.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
 
 
-def quoted(name: str) -> Column:
-    return F.col(f"`{name.replace('`', '``')}`")
-
-
 def _judged(docs: DataFrame, labels: DataFrame, carry: list[str], key: str, text: str, lang: str,
             weight: int, spread: float, margin: float) -> DataFrame:
     """The columns of ``carry`` as c0, c1, ... and what ``judged`` says. The tables that it needs on the way go at the end."""

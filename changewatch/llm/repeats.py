@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from changewatch.llm.common import mapped, ship, text_of, tidy, total_bytes, written
+from changewatch.llm.common import mapped, quoted, ship, text_of, tidy, total_bytes, written
 
 LAST = np.iinfo(np.int64).max  # stands for a null id
 CHUNK, BUCKET = 4 << 20, 16 << 20  # bytes of text behind a chunk and a bucket of anchors
@@ -206,7 +206,7 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
     carry = carry or []
     carried = [f"c{i}" for i in range(len(carry))]
     named = docs.select(F.col(key).alias("key"), text_of(text).alias("text"),
-                        *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]).select(
+                        *[quoted(c).alias(f"c{i}") for i, c in enumerate(carry)]).select(
         "key", ident.alias("id"), "text", *carried, F.pmod(F.xxhash64(ident, F.when(F.col("key").isNull(), F.col("text"))), F.lit(chunks))
         .alias("chunk"))
     digests = named.select("id", "chunk", F.unhex(F.sha2("text", 256)).alias("digest"))
@@ -430,7 +430,7 @@ def shortened(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str =
     cut = mapped(found, run, schema).toDF(key, text, *others)
     if length in others:
         cut = cut.withColumn(length, F.length(text).cast(cut.schema[length].dataType))
-    return cut.select(*docs.columns)
+    return cut.select(*map(quoted, docs.columns))
 
 
 def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:

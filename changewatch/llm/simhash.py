@@ -135,6 +135,8 @@ def near_duplicates(docs: DataFrame, radius: int = 2, size: int = 3, key: str =
 SHINGLE = 5
 SAMPLED = 20000  # documents, about, whose shingles are counted to tell which ones are common
 COMMON = 1 << 18  # common shingles at most that all tasks are told of
+BITS = 2048  # of a bitmap
+TOLD = 1 << 20  # keys, 16 MB, that all tasks are told at most
 SLACK = 1e-9  # so that rounding never leaves a pair out
 
 
@@ -188,8 +190,10 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id"
     n - ceil(similarity n) + 1 of the larger and one of the first n - ceil(2 similarity / (1 + similarity) n) + 1 of the smaller one
     (the ``lead`` shingles). Rare ones come first, so what many documents have, as a template, is in neither unless they are little
     else. In each bucket, the documents of a shingle, every one is first compared with the one of the smallest key and the one that has the fewest
-    rarer shingles: two pairs a row, which make one component of a family. Then all pairs of a bucket that are in different components are
-    compared; only a bucket of many documents that pass the filters and are not alike costs the square of its size.
+    rarer shingles: two pairs a row, which make one component of a family. Then components that meet in a bucket are compared by their roots, and
+    opened if members can be similar in spite of how far the roots are apart. Before texts are read, a bitmap of each document tells
+    most pairs that are not similar. What is left to cost the square are many components that meet in one bucket, of which only their roots'
+    numbers are paired.
 
     Each pair is compared by all its shingles, as 32-bit hashes: what is found holds up to their collisions. Null keys have no group; null texts are
     empty; rows with one key are one document if their texts are alike."""
@@ -198,46 +202,58 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id"
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
     spark = docs.sparkSession
     with scratch(spark):
-        equal, shared = shared_shingles(rows, similarity)
-        known = written(components(close_to_heads(rows, shared, similarity)), "known")
-        linked = rest_of_buckets(rows, shared, known, similarity).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        found = written(components(linked.union(equal)), "groups", keep=True)
+        equal, shared, bitmaps = shared_shingles(rows, similarity)
+        linked, sets = close_to_heads(rows, shared, bitmaps, similarity)
+        known = written(components(linked), "known")
+        rest = rest_of_buckets(rows, shared, bitmaps, placed_members(known, sets), similarity)
+        linked = rest.union(known.select(F.col("node").alias("a"), F.col("root").alias("b"))).union(equal)
+        found = written(components(linked), "groups", keep=True)
     return found.select(F.col("node").alias(key), F.col("root").alias("group"))
 
 
-def shared_shingles(rows: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs a, b of documents with equal sets of shingles, b the first of them. And of the first of each, the prefix shingles that others have in
-    theirs, too: bucket (the shingle), key, size, place in the order of its shingles, and whether it is a leading one."""
+def bitmap(hashes: np.ndarray) -> bytes:
+    """Which of ``BITS`` places an odd number of distinct shingles falls in. Two sets differ in as many shingles at least as their
+    bitmaps differ in bits."""
+    return np.packbits(np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).tobytes()
+
+
+def shared_shingles(rows: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs a, b of documents with equal sets of shingles, b the first of them. Of the first of each, the prefix shingles that others have in
+    theirs, too: bucket (the shingle), key, size, place in the order of its shingles, and whether it is a leading one; and key, size
+    and bitmap."""
     spark = rows.sparkSession
     with scratch(spark):
         told = spark.sparkContext.broadcast(common_shingles(rows))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own, texts in slices(batches, "text", 1 << 22):
-            digests, sizes, leads, buckets = [], [], [], []
+            digests, sizes, leads, buckets, bitmaps = [], [], [], [], []
             for value in texts:
                 ordered = rare_first(shingle_hashes(value, SHINGLE), told.value)
                 digests.append(xxhash.xxh3_128_digest(ordered.tobytes()))
                 sizes.append(len(ordered))
                 leads.append(first_so_many(len(ordered), 2 * similarity / (1 + similarity)))
                 buckets.append(ordered[:first_so_many(len(ordered), similarity)].view(np.int64))
+                bitmaps.append(bitmap(ordered))
             yield pa.RecordBatch.from_arrays(
                 [own.column("key"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(leads, pa.int32()),
-                 pa.array(buckets, pa.list_(pa.int64()))], ["key", "digest", "size", "lead", "buckets"])
+                 pa.array(buckets, pa.list_(pa.int64())), pa.array(bitmaps, pa.binary())],
+                ["key", "digest", "size", "lead", "buckets", "bitmap"])
 
     with scratch(spark):
         with scratch(spark):
-            marked = written(mapped(rows, mark, "key long, digest binary, size int, lead int, buckets array<bigint>"), "marks")
+            marked = written(mapped(rows, mark, "key long, digest binary, size int, lead int, buckets array<bigint>, bitmap binary"), "marks")
             firsts = written(marked.groupBy("digest").agg(F.min("key").alias("first")), "firsts")
             pairs = written(marked.select("key", "digest").join(firsts, "digest").where("key <> first").select(
                 F.col("key").alias("a"), F.col("first").alias("b")).distinct(), "pairs", keep=True)
-            alone = marked.join(firsts.withColumnRenamed("first", "key"), ["digest", "key"], "left_semi")
-            listed = written(alone.select("key", "size", "lead", F.posexplode("buckets").alias("place", "bucket")).select(
-                "bucket", "key", "size", "place", (F.col("place") < F.col("lead")).alias("leads")), "listed", keep=True)
+            alone = written(marked.join(firsts.withColumnRenamed("first", "key"), ["digest", "key"], "left_semi"), "alone", keep=True)
+        listed = alone.select("key", "size", "lead", F.posexplode("buckets").alias("place", "bucket")).select(
+            "bucket", "key", "size", "place", (F.col("place") < F.col("lead")).alias("leads"))
         # of one key with several texts, rows of one bucket count as two here, which costs work only
         met = written(listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("any")).where(
             "n > 1 AND any").select("bucket"), "met")
-        return written(pairs, "equal", keep=True), written(listed.join(met, "bucket"), "shared", keep=True)
+        return (written(pairs, "equal", keep=True), written(listed.join(met, "bucket"), "shared", keep=True),
+                written(alone.select("key", "size", "bitmap"), "bitmaps", keep=True))
 
 
 def alike(a: str, b: str, similarity: float) -> Column:
@@ -250,8 +266,27 @@ def in_order(found: DataFrame) -> DataFrame:
     return found.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
 
 
-def close_to_heads(rows: DataFrame, shared: DataFrame, similarity: float) -> DataFrame:
-    """Similar pairs a, b of which one is, in some bucket, the document of the smallest key or the one with the fewest rarer shingles."""
+def possible(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Those of the pairs a, b whose sets can have the similarity in their column ``least``, by their sizes and bitmaps: none that have is left
+    out. 256 bytes of a document travel, not its set."""
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("x", "y"))
+                differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+                least = batch.column("least").to_numpy()
+                keep = (sizes - differ) / 2 >= least / (1 + least) * sizes - SLACK
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    sides = pairs.join(bitmaps.select(F.col("key").alias("a"), F.col("size").cast("long").alias("n"), F.col("bitmap").alias("x")), "a").join(
+        bitmaps.select(F.col("key").alias("b"), F.col("size").cast("long").alias("m"), F.col("bitmap").alias("y")), "b")
+    return mapped(sides.select("a", "b", "least", "n", "m", "x", "y"), check, "a long, b long").distinct()
+
+
+def close_to_heads(rows: DataFrame, shared: DataFrame, bitmaps: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Similar pairs a, b of which one is, in some bucket, the document of the smallest key or the one with the fewest rarer shingles; and the
+    sets of all documents in them."""
     spark = rows.sparkSession
     with scratch(spark):
         ends = written(shared.groupBy("bucket").agg(
@@ -261,40 +296,68 @@ def close_to_heads(rows: DataFrame, shared: DataFrame, similarity: float) -> Dat
                 F.struct(F.col("core.key").alias("other"), F.col("core.size").alias("other_size"))).alias("ends")), "ends")
         stars = shared.join(ends, "bucket").select("key", "size", F.explode("ends").alias("e")).select(
             "key", "size", "e.other", "e.other_size").where("key <> other").where(alike("size", "other_size", similarity))
-        return written(similar_pairs(rows, written(in_order(stars), "stars"), similarity), "linked", keep=True)
+        stars = written(in_order(stars).withColumn("least", F.lit(similarity)), "stars")
+        stars = written(possible(stars, bitmaps), "possible")
+        sets = written(sets_of(rows, stars), "shingles", keep=True)
+        linked = similarities(stars, sets).where(F.col("similarity") >= similarity).select("a", "b")
+        return written(linked, "linked", keep=True), sets
+
 
+def placed_members(known: DataFrame, sets: DataFrame) -> DataFrame:
+    """root, key, away: how far each member of a component is from its root, as 1 less their similarity; the root itself, too."""
+    pairs = known.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    found = similarities(pairs, sets).select(F.col("b").alias("root"), F.col("a").alias("key"), (1 - F.col("similarity")).alias("away"))
+    return written(found.union(known.where("node = root").select("root", F.col("root").alias("key"), F.lit(0.0))), "members")
 
-def rest_of_buckets(rows: DataFrame, shared: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """Similar pairs a, b of one bucket and different components in ``known``, the smaller one's shingle a leading one."""
+
+def rest_of_buckets(rows: DataFrame, shared: DataFrame, bitmaps: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+    """Similar pairs a, b of documents that have a bucket in common, the smaller one's shingle a leading one, and are in different components.
+
+    One less the similarity is a distance. Two members can be similar only if their roots are no further from each other than
+    they are from the roots and from each other; so of all pairs of components that meet in a bucket few are opened, and of these only
+    members far enough from the root are compared."""
     spark = rows.sparkSession
+    near = 1 - similarity + SLACK
     with scratch(spark):
-        placed = written(shared.join(known.select(F.col("node").alias("key"), "root"), "key", "left").select(
-            *shared.columns, F.coalesce("root", "key").alias("root")), "placed")
+        placed = shared.join(members.select("key", "root"), "key", "left").select(
+            "bucket", "size", "leads", F.coalesce("root", "key").alias("root"))
         heads = written(placed.groupBy("bucket", "root").agg(
             F.min("size").alias("least"), F.max("size").alias("most"),
             F.min(F.when(F.col("leads"), F.col("size"))).alias("lead_least")), "heads")
-        left = heads.where("lead_least IS NOT NULL").select("bucket", "root", "lead_least", F.col("most").alias("own_most"))
-        right = heads.select("bucket", F.col("root").alias("other_root"), "least", "most")
-        met_roots = written(left.join(right, "bucket").where("root <> other_root").where(
-            (F.col("lead_least") <= F.col("most")) & (F.col("own_most") >= similarity * F.col("least") - SLACK)).select(
-            "bucket", "root", "other_root", "least", "most"), "roots")
-        least_needed = similarity / (1 + similarity) * (F.col("size") + F.greatest("size", "least")) - SLACK
-        small = written(met_roots.join(placed.where("leads").select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).where(
-            (F.col("size") <= F.col("most")) & (F.col("size") >= similarity * F.col("least") - SLACK)
-            & (F.col("size") - F.col("place") >= least_needed)).select(
-            "bucket", F.col("other_root").alias("root"), F.col("key").alias("other"), F.col("size").alias("other_size"),
-            F.col("place").alias("other_place")), "small")
-        # the pair's first common shingle leaves room for all that they must share
-        needed = similarity / (1 + similarity) * (F.col("size") + F.col("other_size")) - SLACK
-        room = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
-        rest = small.join(placed.select("bucket", "root", "key", "size", "place"), ["bucket", "root"]).where(
-            (F.col("other_size") <= F.col("size")) & alike("size", "other_size", similarity) & (room >= needed))
-        return written(similar_pairs(rows, written(in_order(rest), "rest"), similarity), "rest-linked", keep=True)
-
-
-def similar_pairs(rows: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs a, b of keys whose texts' shingles have at least the similarity."""
+        left = heads.where("lead_least IS NOT NULL").select("bucket", F.col("root").alias("key"), "lead_least", F.col("most").alias("own_most"))
+        right = heads.select("bucket", F.col("root").alias("other"), "least", "most")
+        met = left.join(right, "bucket").where("key <> other").where(
+            (F.col("lead_least") <= F.col("most")) & (F.col("own_most") >= similarity * F.col("least") - SLACK))
+        radius = written(members.groupBy("root").agg(F.max("away").alias("radius")), "radii")
+        roots = in_order(met)
+        for side in ("a", "b"):
+            roots = roots.join(radius.select(F.col("root").alias(side), F.col("radius").alias(f"radius_{side}")), side, "left")
+        roots = written(roots.select("a", "b", *[F.coalesce(f"radius_{side}", F.lit(0.0)).alias(f"radius_{side}") for side in "ab"]), "roots")
+        reach = near + F.col("radius_a") + F.col("radius_b")
+        can_meet = written(possible(roots.withColumn("least", F.greatest(1 - reach, F.lit(0.0))), bitmaps), "can-meet")
+        apart = similarities(can_meet, written(sets_of(rows, can_meet), "root-sets")).join(roots, ["a", "b"])
+        apart = written(apart.select("a", "b", "radius_a", "radius_b", (1 - F.col("similarity")).alias("apart")).where(F.col("apart") <= reach), "apart")
+        ends = apart.select(F.col("a").alias("root")).union(apart.select("b")).distinct()
+        alone = ends.join(members, "root", "left_anti").select("root", F.col("root").alias("key"), F.lit(0.0).alias("away"))
+        sized = written(members.join(ends, "root", "left_semi").union(alone).join(bitmaps.select("key", "size"), "key"), "sized")
+
+        def side(own: str) -> DataFrame:
+            return sized.select(F.col("root").alias(own), *[F.col(c).alias(f"{c}_{own}") for c in ("key", "away", "size")])
+
+        rest = apart.join(side("a"), "a").where(F.col("away_a") + F.col("radius_b") + near >= F.col("apart")).join(side("b"), "b").where(
+            (F.col("away_a") + F.col("away_b") + near >= F.col("apart")) & alike("size_a", "size_b", similarity))
+        rest = in_order(rest.select(F.col("key_a").alias("key"), F.col("key_b").alias("other"))).withColumn("least", F.lit(similarity))
+        rest = written(possible(rest, bitmaps), "rest")
+        found = similarities(rest, written(sets_of(rows, rest), "shingles")).where(F.col("similarity") >= similarity).select("a", "b")
+        return written(found, "rest-linked", keep=True)
+
+
+def sets_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """key, shingles (ascending 32-bit hashes) of all keys in the pairs. Up to ``TOLD`` keys are told to all tasks, so that texts need not
+    travel; more are met by a shuffle."""
     asked = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    if asked.count() <= TOLD:
+        asked = F.broadcast(asked)
     wanted = rows.join(asked, "key", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,20 +365,23 @@ def similar_pairs(rows: DataFrame, pairs: DataFrame, similarity: float) -> DataF
             found = [np.unique(shingle_hashes(value, SHINGLE) >> np.uint64(32)).astype("<u4").tobytes() for value in texts]
             yield pa.RecordBatch.from_arrays([own.column("key"), pa.array(found, pa.binary())], ["key", "shingles"])
 
-    shingles = written(mapped(wanted, sets, "key long, shingles binary").dropDuplicates(["key"]), "shingles")
+    return mapped(wanted, sets, "key long, shingles binary").dropDuplicates(["key"])
+
 
+def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, similarity: the Jaccard similarity of the sets of each pair."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            found = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 left, right = (np.frombuffer(side.as_buffer(), "<u4") for side in (x, y))
                 both = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(both >= similarity * (len(left) + len(right) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                found.append(both / max(1, len(left) + len(right) - both))
+            yield batch.select(["a", "b"]).append_column("similarity", pa.array(found, pa.float64()))
 
-    sides = pairs.join(shingles.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(
-        shingles.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    return mapped(sides, compare, "a long, b long")
+    sides = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(
+        sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    return mapped(sides, compare, "a long, b long, similarity double")
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -324,4 +390,4 @@ def one_of_each(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id", t
     with scratch(docs.sparkSession):
         later = similar_groups(docs, similarity, key=key, text=text).where(F.col(key) > F.col("group")).select(key)
         later = written(later, "later", keep=True)
-    return docs.join(later, key, "left_anti").select(*docs.columns)
+    return docs.join(later, docs[key] == later[key], "left_anti")
