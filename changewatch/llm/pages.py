@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -114,6 +114,8 @@ def events(page: str, whole: bool = False) -> list[tuple[str, str, str]]:
     tags, unless the ``whole`` page is asked for. Unclosed elements end with the element around them."""
     found: list[tuple[str, str, str, Zone | None]] = []
     stack: list[tuple[str, bool]] = []
+    depths: defaultdict[str, list[int]] = defaultdict(list)  # where the open elements of a name stand in the stack
+    endless: set[str] = set()  # names whose end tag does not come any more
     zones: list[Zone] = []
     zone: Zone | None = None
     content = links = at = outside = 0
@@ -123,6 +125,7 @@ def events(page: str, whole: bool = False) -> list[tuple[str, str, str]]:
     def pop() -> None:
         nonlocal zone, content, links
         name, is_zone = stack.pop()
+        depths[name].pop()
         zone = zone.around if is_zone else zone
         if name in CONTENT:
             opened[name] -= 1
@@ -130,13 +133,11 @@ def events(page: str, whole: bool = False) -> list[tuple[str, str, str]]:
         links -= name == "a"
 
     def close(name: str, within: tuple[str, ...] = ()) -> None:
-        for depth in range(len(stack) - 1, -1, -1):
-            if stack[depth][0] == name:
-                while len(stack) > depth:
-                    pop()
-                return
-            if stack[depth][0] in within:
-                return
+        """End the innermost element of the name and what is open in it, if none of ``within`` is between."""
+        if depths[name] and not any(depths[other] and depths[other][-1] > depths[name][-1] for other in within):
+            depth = depths[name][-1]
+            while len(stack) > depth:
+                pop()
 
     def text(upto: int) -> None:
         nonlocal outside
@@ -180,8 +181,9 @@ def events(page: str, whole: bool = False) -> list[tuple[str, str, str]]:
         if closing:
             close(name)
         elif name in RAW:
-            end = re.compile(rf"</{re.escape(name)}[\s>/]", re.I).search(page, at)
+            end = None if name in endless else re.compile(rf"</{re.escape(name)}[\s>/]", re.I).search(page, at)
             if end is None:
+                endless.add(name)
                 if name in ("script", "style", "textarea", "title", "template"):
                     at = len(page)
             else:
@@ -198,6 +200,7 @@ def events(page: str, whole: bool = False) -> list[tuple[str, str, str]]:
             if kind:
                 zone = Zone(name, kind, zone)
                 zones.append(zone)
+            depths[name].append(len(stack))
             stack.append((name, bool(kind)))
             content += name in CONTENT
             if name in CONTENT:
@@ -267,10 +270,26 @@ def best_region(found: list[tuple[str, str, str]], weights: dict[str, float]) ->
     return region
 
 
+def whole_articles(found: list[tuple[str, str, str]], first: int, last: int) -> tuple[int, int]:
+    """The region with the rest of the articles that it begins and ends in: in an article, links and short items belong to the text,
+    whatever they score."""
+    def inside(at: int) -> bool:
+        kind, name, _ = found[at]
+        return kind == "text" and (name.startswith("main") or name == "space") or kind == "tag" and name not in CONTENT
+
+    if any(kind == "text" and name.startswith("main") for kind, name, _ in found[first:last]):
+        while last < len(found) and inside(last):
+            last += 1
+        while first > 0 and inside(first - 1):
+            first -= 1
+    return first, last
+
+
 def main_text(page: str) -> str:
-    """The blocks of the best region, joined by line feeds. A page that has none is looked at again with nothing left out."""
+    """The blocks of the best region, to the ends of its article, joined by line feeds. A page that has none is looked at again with nothing
+    left out."""
     found = events(page)
-    first, last = best_region(found, fitted())
+    first, last = whole_articles(found, *best_region(found, fitted()))
     if first == last:
         found = events(page, whole=True)
         first, last = best_region(found, fitted())

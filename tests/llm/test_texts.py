@@ -201,6 +201,47 @@ def test_pages_in_wrappers():
         assert pages.main_text(page) == main, page
 
 
+def test_articles_of_links_are_whole():
+    listed = "<h1>List</h1><ul>" + "".join(f"<li><a href='/{i}'>Item {i}</a></li>" for i in range(20)) + "</ul>"
+    expected = "List\n" + "\n".join(f"Item {i}" for i in range(20))
+    for page in (f"<article>{listed}</article>", f"<nav><a href='/'>Home</a></nav><main>{listed}</main><footer>The paper</footer>",
+                 f"<div class='sidebar'>Popular</div><article>{listed}<div class='ad'>Buy</div></article><p>Imprint</p>"):
+        assert pages.main_text(page) == expected
+    assert pages.main_text("<article><h1>List</h1><ul><li><a>One</a></li><li><a>Two</a></li></ul></article>") == "List\nOne\nTwo"
+
+
+def test_odd_markup_takes_linear_time():
+    import time
+    n = 100_000
+    for page in ("<div>" * n + "</x>" * n, "<li><ul>" + "<i>" * n + "<li></li>" * n, "<svg>" * n + "<p>x", "<p>" * n, "<a href='" * n,
+                 "</p>" * n + "<td>" * n, "<div><p>" * n + "</div>" * n, "<button>" * n):
+        start = time.process_time()
+        pages.main_text(page)
+        assert time.process_time() - start < 20, page[:30]
+
+
+def test_best_region_against_all_regions():
+    rng = random.Random(9)
+    kinds = [("tag", "p", "block"), ("tag", "b", ""), ("tag", "li", "gap"), ("text", "space", " "), ("text", "main", "one two"),
+             ("text", "outside", "menu"), ("text", "plain-link", "a b c"), ("text", "plain", "words")]
+    weights = {"<p": -0.5, "<b": -0.3, "<li": -2.0, "main": 1.5, "outside": -1.0, "plain": 0.4, "plain-link": -0.7}
+
+    def total(events):
+        score = 0.0
+        for kind, name, value in events:
+            if kind == "tag":
+                score += weights["<" + name] * {"block": 1, "gap": 0}.get(value, 0.1)
+            elif name != "space":
+                score += weights[name] * len(value.split())
+        return score
+
+    for _ in range(300):
+        found = [rng.choice(kinds) for _ in range(rng.randint(0, 14))]
+        first, last = pages.best_region(found, weights)
+        most = max((total(found[i:j]) for i in range(len(found)) for j in range(i, len(found) + 1)), default=0.0)
+        assert total(found[first:last]) == pytest.approx(max(most, 0.0))
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>", "t"), (None, None, None, "t"), (1, "u", "<p>a</p>", "t"), (2, "v", "<p>" * 50000, "t")],
                                "page_id long, url string, html string, text string")
