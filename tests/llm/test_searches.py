@@ -1,6 +1,9 @@
 """Operators on vectors, fingerprints and near-duplicates, against brute force."""
 
+import hashlib
 import random
+import re
+import struct
 
 import numpy as np
 import pytest
@@ -138,6 +141,38 @@ def test_similar_groups_against_all_pairs(spark):
     assert kept == {i for i, root in near.items() if i == root} | {None}
 
 
+def plain_fingerprint(text):
+    """One-permutation MinHash by its definition: one smallest hash a bin, empty bins filled from the first filled one in an order of
+    their own, the low bits of each value hashed with its bin."""
+    def hashed(*numbers, seed=42):
+        for number in numbers:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", number), seed)
+            number = seed - (1 << 64) if seed >> 63 else seed
+        return number if numbers else seed
+
+    def signed(number):
+        return number - (1 << 64) if number >> 63 else number
+
+    words = [signed(xxhash.xxh64_intdigest(word.encode(), 42)) for word in re.split("[ \t\n\x0b\f\r]+", text) if word]
+    smallest = {}
+    for i in range(max(1, len(words) - 4)):
+        value = hashed(*words[i:i + 5])
+        place = (value % (1 << 64)) >> 57
+        smallest[place] = min(value, smallest.get(place, value))
+    filled = sorted(smallest, key=lambda place: smallest[place])
+    digits = []
+    for place in range(128):
+        donor = place if place in smallest else min(filled, key=lambda other: hashed(place, other))
+        digits.append(f"{hashed(smallest[donor], place) & 255:02X}")
+    return "".join(digits)
+
+
+def test_fingerprints_by_their_definition(spark):
+    texts = ["", "one", "a b c d", "a b c d e", "a  b\tc\x0bd e f", "É è ñ 漢字 \u00a0 x", *(prose(i, 30 * i) for i in range(1, 12))]
+    rows = minhash.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.fingerprint for r in rows} == {i: plain_fingerprint(text) for i, text in enumerate(texts)}
+
+
 def test_fingerprints_estimate_likeness(spark):
     docs = [(i, prose(i, n)) for i, n in enumerate([1, 3, 6, 40, 300, 1200, 0, 5000])] + [(20, None), (20, ""), (None, "x y"), (30, "é" * 9)]
     df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, n_chars string")
@@ -156,6 +191,9 @@ def test_fingerprints_estimate_likeness(spark):
         for estimate, other in ((row.near_edited, shingles[1]), (row.near_next, shingles[2])):
             assert abs(estimate - len(shingles[0] & other) / len(shingles[0] | other)) < 0.2
         assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        if [i for i, _ in docs].count(row.doc_id) == 1:
+            assert row.fingerprint == plain_fingerprint(text) and row.edited_fingerprint == plain_fingerprint(edited)
     assert minhash.with_edits(df.where("false")).collect() == []
 
 
