@@ -6,6 +6,7 @@ import ctypes
 import os
 import tempfile
 import uuid
+import warnings
 import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -21,6 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        warnings.warn("spark.checkpoint.dir is unset; intermediate tables go to this machine", stacklevel=2)
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
         folder = context.getCheckpointDir()
     return folder

@@ -1,4 +1,4 @@
-"""Removal of repeated passages with suffix order and longest previous factors (operator 3).
+"""Removal of repeated passages by their order up to a fixed length (operator 3).
 
 A passage of ``size`` bytes that starts in a document with a smaller id is removed wherever it occurs again. Passages are compared
 through anchors: the smallest hash of the short strings inside a passage. Equal passages have equal anchors, so
@@ -6,7 +6,8 @@ through anchors: the smallest hash of the short strings inside a passage. Equal
 1. every chunk of documents names the anchors of all its passages, one per run of neighbouring passages;
 2. per anchor it is found out whether two documents have it, which few have;
 3. chunks send the runs of shared anchors, as bytes, to where the anchor's hash belongs;
-4. there all passages are put in suffix order, and the previous smaller document tells which are later copies;
+4. there all passages are put in order, as suffixes are but up to ``size`` bytes only, and of equal ones those of the smallest document are the
+   first: that is whether the longest previous factor reaches ``size``, which is all that is asked; its length is not computed;
 5. the chunks cut these out.
 
 A chunk is named by the hash of the document's id and has a bounded size, as have the buckets of anchors. Equal runs in a chunk are sent
@@ -93,9 +94,9 @@ def runs(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, ...
 def earlier_copies(data: np.ndarray, windows: np.ndarray, documents: np.ndarray, size: int) -> np.ndarray:
     """Which of the passages of ``size`` bytes that start at ``windows`` also start in a smaller document.
 
-    Ranks of 8 bytes are doubled to ranks of ``size`` bytes, which is the suffix order as far as it matters. Equal ranks stand for a
-    common prefix of ``size`` at least, and ties are ordered by document; so the previous smaller document of a suffix, if its
-    longest previous factor reaches ``size``, stands at the head of its ties."""
+    Ranks of 8 bytes are doubled to ranks of ``size`` bytes. Equal ranks stand for a common prefix of ``size`` at least, and ties are ordered
+    by document; so a passage has an earlier copy if the head of its ties is of a smaller document. There is no suffix array of
+    whole texts and no array of longest previous factors."""
     if not len(windows):
         return np.zeros(0, bool)
     count = len(data) - 7
