@@ -7,7 +7,7 @@ it. Each language has a model of its own, counted over all its trusted documents
    order by language, with their counts in its trusted documents.
 2. The lists meet in shards by language and two middle bytes, which every n-gram and context of order three to five that a
    look-up needs has in common. There the counts are summed. Statistics of the whole model and its two lowest orders
-   (65,536 entries a language at most) are put together and handed to all shards.
+   (65,536 entries a language at most) are summed as rows and handed to all shards.
 3. Shards answer each list with log probabilities; chunks add them up for each document.
 
 What travels is lists of distinct n-grams, not one row for each n-gram of a document.
@@ -29,6 +29,7 @@ ORDER = 5
 BEGIN, END = b"\xff", b"\xfe"  # bytes that UTF-8 never has
 SYMBOLS = 257
 CHUNK = 8 << 20  # bytes of text in a chunk
+SHARD = 64 << 20  # bytes of text behind a shard
 SEGMENT = 1 << 19
 HELD_OUT = 5  # one in so many trusted documents sets thresholds instead of counts
 LOW = 2  # orders that go everywhere
@@ -167,8 +168,8 @@ def scores(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     spark = docs.sparkSession
     ship(spark)
     carry = carry or [key]
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(shards, -(-total_bytes(docs, text) // CHUNK))
+    least, size = int(spark.conf.get("spark.sql.shuffle.partitions")), total_bytes(docs, text)
+    chunks, shards = max(least, -(-size // CHUNK)), max(least, -(-size // SHARD))
     ident = F.col(key).cast("long")
     own_text = [] if text in carry else [text_of(text).alias("text")]
     text_name = "text" if own_text else f"c{carry.index(text)}"  # a text travels once
@@ -231,12 +232,6 @@ def scores(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
             rows.append((language, *shorter(keys, LOW), np.concatenate([stats[order] for order in range(LOW + 1, ORDER + 1)])))
         return table_of(rows, SIDE)
 
-    def put_together(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
-        low, at = np.unique(own.column("low").combine_chunks().flatten().to_numpy(), return_inverse=True)
-        counts = np.bincount(at, own.column("low_counts").combine_chunks().flatten().to_numpy(), len(low)).astype(np.int64)
-        stats = own.column("stats").combine_chunks().flatten().to_numpy().reshape(-1, 4 * (ORDER - LOW)).sum(axis=0)
-        return table_of([(key[0].as_py(), low, counts, stats)], SIDE)
-
     def answer(own: pa.Table, side: pa.Table) -> pa.Table:
         tidy()
         sides = {row["lang"]: row for row in side.to_pylist()}
@@ -285,7 +280,15 @@ def scores(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     lists = blobs.groupBy("chunk").cogroup(learnt.groupBy("chunk")).applyInArrow(
         list_grams, "shard long, chunk long, lang string, grams array<bigint>, counts array<bigint>")
     side_schema = "lang string, low array<bigint>, low_counts array<bigint>, stats array<bigint>"
-    side = lists.groupBy("shard").applyInArrow(summarise, side_schema).groupBy("lang").applyInArrow(put_together, side_schema)
+    parts = lists.groupBy("shard").applyInArrow(summarise, side_schema)
+    # summed as rows, before anything of a language comes together: 65,536 sums at most
+    low = parts.select("lang", F.inline(F.arrays_zip("low", "low_counts"))).groupBy("lang", "low").agg(F.sum("low_counts").alias("n"))
+    low = low.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("low", "n"))).alias("own"))
+    stats = parts.select("lang", F.posexplode("stats").alias("at", "n")).groupBy("lang", "at").agg(F.sum("n").alias("n"))
+    stats = stats.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("stats"))
+    side = low.join(stats, "lang", "right").select(
+        "lang", *[F.coalesce(F.col("own")[name], F.array().cast("array<bigint>")).alias(alias) for name, alias in (("low", "low"), ("n", "low_counts"))],
+        F.col("stats")["n"].alias("stats"))
     side = side.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     answers = lists.groupBy("shard").cogroup(side.groupBy("shard")).applyInArrow(
         answer, "chunk long, lang string, shard long, logs array<float>")
