@@ -1,4 +1,4 @@
-"""Removal of repeated passages by their order up to a fixed length (operator 3).
+"""Removal of repeated passages by longest previous factors in suffix order (operator 3).
 
 A passage of ``size`` bytes that starts in a document with a smaller id is removed wherever it occurs again. Passages are compared
 through anchors: the smallest hash of the short strings inside a passage. Equal passages have equal anchors, so
@@ -6,13 +6,14 @@ through anchors: the smallest hash of the short strings inside a passage. Equal
 1. every chunk of documents names the anchors of all its passages, one per run of neighbouring passages;
 2. per anchor it is found out whether two documents have it, which few have;
 3. chunks send the runs of shared anchors, as bytes, to where the anchor's hash belongs;
-4. there all passages are put in order, as suffixes are but up to ``size`` bytes only, and of equal ones those of the smallest document are the
-   first: that is whether the longest previous factor reaches ``size``, which is all that is asked; its length is not computed;
-5. the chunks cut these out.
+4. there the suffixes of all runs are put in order. The previous and the next one of a smaller document in that order share the longest
+   prefixes with a suffix that any smaller document has: the longer is its longest previous factor, up to the end of the run;
+5. where the factor has ``size`` bytes or more the chunks cut the passage out. The first document keeps its own.
 
 A chunk is named by the hash of the document's id and has a bounded size, as have the buckets of anchors. Equal runs in a chunk are sent
-once, from the smallest document. Anchors of very many runs are dealt on by single passages, so no passage, however
-frequent, makes a large bucket. Exact copies of a document are found by their digest beforehand.
+once, from the smallest document, and of equal runs in a bucket one is put in order. Runs have 2 * ``size`` passages at most. Anchors of very many
+runs are dealt on by single passages, so no passage, however frequent, makes a large bucket. Exact copies of a document are found by
+their digest beforehand.
 """
 
 from __future__ import annotations
@@ -84,6 +85,10 @@ def runs(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, ...
         starts[1:] = (anchors[1:] != anchors[:-1]) | (document[1:] != document[:-1]) | (inside[1:] != inside[:-1])
         at = np.flatnonzero(starts)
         lengths = np.diff(np.append(at, count))
+        if len(lengths) and lengths.max() > 2 * size:  # text of a short period: runs are cut, so that suffixes end
+            parts = -(-lengths // (2 * size))
+            inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            at, lengths = np.repeat(at, parts) + 2 * size * inner, np.minimum(np.repeat(lengths, parts) - 2 * size * inner, 2 * size)
         keep = inside[at]
         found.append((anchors[at][keep], document[at][keep], position[at][keep], lengths[keep]))
     if not found:
@@ -91,48 +96,93 @@ def runs(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, ...
     return tuple(np.concatenate(columns) for columns in zip(*found))
 
 
-def earlier_copies(data: np.ndarray, windows: np.ndarray, documents: np.ndarray, size: int) -> np.ndarray:
-    """Which of the passages of ``size`` bytes that start at ``windows`` also start in a smaller document.
-
-    Ranks of 8 bytes are doubled to ranks of ``size`` bytes. Equal ranks stand for a common prefix of ``size`` at least, and ties are ordered
-    by document; so a passage has an earlier copy if the head of its ties is of a smaller document. There is no suffix array of
-    whole texts and no array of longest previous factors."""
-    if not len(windows):
-        return np.zeros(0, bool)
-    count = len(data) - 7
-    ranks, known = loads(data, count), 8
-    _, ranks = np.unique(ranks, return_inverse=True)
-    while known < size:
-        step = min(known, size - known)
-        last = windows if known + step >= size else np.arange(len(ranks) - step)
-        pairs = ranks[last] * np.int64(len(ranks) + 1) + ranks[last + step]
-        if last is windows:
-            ranks = pairs
-        else:
-            _, ranks = np.unique(pairs, return_inverse=True)
-        known += step
-    ranks = ranks if known > 8 else ranks[windows]
-    order = np.lexsort((documents, ranks))
-    ranks, sorted_documents = ranks[order], documents[order]
-    heads = np.flatnonzero(np.append(True, ranks[1:] != ranks[:-1]))
-    smallest = np.repeat(sorted_documents[heads], np.diff(np.append(heads, len(ranks))))
-    later = np.empty(len(windows), bool)
-    later[order] = sorted_documents > smallest
-    return later
+def words_at(data: np.ndarray, at: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The next up to 8 bytes from each of the positions ``at`` as numbers that sort like bytes, zeros behind the ends that are ``left``
+    bytes away, and how many of them are text. ``data`` goes on for 8 bytes behind the last end."""
+    known = np.clip(left, 0, 8)
+    words = loads(data, len(data) - 7)[np.minimum(at, len(data) - 8)]
+    shift = np.uint64(8) * (8 - known).astype(np.uint64)
+    return np.where(known > 0, words >> (shift & np.uint64(63)) << (shift & np.uint64(63)), np.uint64(0)), known
+
+
+def suffix_order(data: np.ndarray, starts: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes that begin at ``starts`` and end ``left`` bytes on, as an array of their numbers in the order of their bytes (of two the
+    one that ends first is the smaller), and the common prefix of each with the one before it there (0 for the first).
+
+    Suffixes that are alike so far are ordered by their next 8 bytes until none are left; they must have a bounded length."""
+    count = len(starts)
+    order, common = np.arange(count), np.zeros(count, np.int64)
+    tied = np.arange(count)  # places in the order that are not settled, in groups of neighbours
+    group = np.zeros(count, np.int64)
+    depth = 0
+    while len(tied):
+        own = order[tied]
+        words, known = words_at(data, starts[own] + depth, left[own] - depth)
+        inside = np.lexsort((known, words, group)) if depth else np.lexsort((known, words))
+        own, words, known = own[inside], words[inside], known[inside]
+        order[tied] = own
+        joined = np.append(False, group[1:] == group[:-1])
+        differs = np.append(np.uint64(0), words[1:] ^ words[:-1])
+        both = np.append(0, np.minimum(known[1:], known[:-1]))
+        # equal leading bytes of two words: 7 less the number of the highest byte that differs
+        high = np.zeros(len(tied), np.int64)
+        for power in (4, 2, 1):
+            step = differs >> np.uint64(8 * power) > 0
+            differs = np.where(step, differs >> np.uint64(8 * power), differs)
+            high += power * step
+        equal = np.minimum(np.where(differs > 0, 7 - high, 8), both)
+        common[tied[joined]] = depth + equal[joined]
+        same = joined & (equal == 8)  # the same 8 bytes as the one before, and both may go on
+        within = same | np.append(same[1:], False)
+        tied, group = tied[within], np.cumsum(~same)[within]
+        depth += 8
+    return order, common
+
+
+def nearest_smaller(positions: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For each place of a suffix order the prefix it has in common with the last one before it of a smaller position, 0 if none.
+
+    All places step back together from candidate to candidate; what lies between is not smaller, so steps double in length. The least
+    common prefix on the way is kept along."""
+    count = len(positions)
+    candidate = np.arange(-1, count)
+    candidate[0] = candidate[-1] = count  # stands before the first
+    least = np.append(common, 0)
+    least[0] = 0
+    positions = np.append(positions, 0)
+    moving = np.arange(count)
+    while len(moving := moving[(candidate[moving] < count) & (positions[candidate[moving]] >= positions[moving])]):
+        at = candidate[moving]
+        shared, further = np.minimum(least[moving], least[at]), candidate[at]
+        least[moving], candidate[moving] = shared, further
+    return np.where(candidate == count, 0, least)[:count]
+
+
+def longest_previous_factors(data: np.ndarray, starts: np.ndarray, left: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """For each of the suffixes at ``starts``, ending ``left`` bytes on, the length of its longest prefix that also begins a suffix of
+    a smaller document: the larger of what it shares with the previous and with the next smaller one in suffix order. Of all
+    smaller ones those two are nearest, so none shares more."""
+    order, common = suffix_order(data, starts, left)
+    positions = documents[order]
+    before = nearest_smaller(positions, common)
+    after = nearest_smaller(positions[::-1], np.append(0, common[:0:-1]) if len(common) else common)[::-1]
+    factors = np.empty(len(starts), np.int64)
+    factors[order] = np.maximum(before, after)
+    return factors
 
 
 def later_runs(data: np.ndarray, at: np.ndarray, begins: np.ndarray, lengths: np.ndarray, documents: np.ndarray, size: int
                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For the pieces ``at``, which stand at ``begins`` in ``data``: piece, start and end in it of every run of bytes covered by
-    passages that also start in a smaller document."""
-    own = np.empty(lengths.sum() + 8, np.uint8)
+    passages that also start in a smaller document. Suffixes shorter than a passage are left out of the order."""
+    own = np.zeros(lengths.sum() + 8, np.uint8)
     starts = np.cumsum(lengths) - lengths
     own[:-8] = data[np.repeat(begins - starts, lengths) + np.arange(lengths.sum())]
-    own = own[:-8]
     count = lengths - size + 1
     windows = np.repeat(starts - (np.cumsum(count) - count), count) + np.arange(count.sum())
     piece = np.repeat(np.arange(len(at)), count)
-    later = earlier_copies(own, windows, documents[piece], size)
+    left = (starts + lengths)[piece] - windows
+    later = longest_previous_factors(own, windows, left, documents[piece]) >= size
     heads = np.flatnonzero(np.append(True, (later[1:] != later[:-1]) | (piece[1:] != piece[:-1]))[:len(later)])
     tails = np.append(heads[1:], len(later))
     heads, tails = heads[later[heads]], tails[later[heads]]
@@ -324,28 +374,48 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
         if bucket < 0:
             return tables([(int(chunk[0]), SPANS, uses.flatten().to_numpy())], note_names,
                           [pa.int64(), pa.int32(), pa.list_(pa.int64())])
-        lengths, contents = own.column("lengths").combine_chunks(), own.column("contents").to_pylist()
+        lengths = own.column("lengths").combine_chunks()
         part_of = own.column("parts").combine_chunks().flatten().to_numpy()
         pieces = lengths.flatten().to_numpy().astype(np.int64)
-        data = np.frombuffer(b"".join(contents), np.uint8)
-        begins = np.cumsum(pieces) - pieces
         per_row, uses_per_row = lengths.value_lengths().to_numpy(), uses.value_lengths().to_numpy() // 4
         use_chunk = np.repeat(chunk, uses_per_row)
         which, ident, number, place = uses.flatten().to_numpy().reshape(-1, 4).T
         which = which + np.repeat(np.cumsum(per_row) - per_row, uses_per_row)
-        piece_document = np.empty(len(pieces), np.int64)
-        piece_document[which] = ident
-        spans_of = [later_runs(data, at, begins[at], pieces[at], piece_document[at], size)
-                    for at in (np.flatnonzero(part_of == part) for part in range(FINE))]
+        # equal pieces are ordered once, for the smallest document; those of other documents go whole
+        known: dict[bytes, int] = {}
+        same = np.empty(len(pieces), np.int64)
+        firsts, piece = [], 0
+        for blob, sizes in zip(own.column("contents").to_pylist(), lengths.to_pylist()):
+            begin = 0
+            for length in sizes:
+                content = blob[begin:begin + length]
+                at = known.setdefault(content, len(known))
+                if at == len(firsts):
+                    firsts.append(piece)
+                same[piece] = at
+                begin += length
+                piece += 1
+        data = np.frombuffer(b"".join(known), np.uint8)
+        firsts = np.array(firsts, np.int64)
+        pieces, part_of, which = pieces[firsts], part_of[firsts], same[which]
+        begins = np.cumsum(pieces) - pieces
+        smallest = np.full(len(pieces), LAST)
+        np.minimum.at(smallest, which, ident)
+        spans_of = [later_runs(data, at, begins[at], pieces[at], smallest[at], size)
+                    for at in (np.flatnonzero(part_of == part) for part in range(FINE)) if len(at)]
         owner, low, high = (np.concatenate(column) for column in zip(*spans_of))
         order = np.argsort(owner, kind="stable")
         owner, low, high = owner[order], low[order], high[order]
-        # every use of the piece gets them
+        # every use of the piece by its smallest document gets them
+        whole = ident > smallest[which]
+        copied = np.stack([number, place, place + pieces[which]], 1)[whole]
+        copied_chunk, use_chunk, which, number, place = use_chunk[whole], *(x[~whole] for x in (use_chunk, which, number, place))
         first, last = np.searchsorted(owner, which, side="left"), np.searchsorted(owner, which, side="right")
         times = last - first
         at = np.repeat(first - (np.cumsum(times) - times), times) + np.arange(times.sum())
         found = np.stack([np.repeat(number, times), np.repeat(place, times) + low[at], np.repeat(place, times) + high[at]], 1)
-        order, parts = by_bucket(np.repeat(use_chunk, times))
+        found = np.concatenate([copied, found])
+        order, parts = by_bucket(np.append(copied_chunk, np.repeat(use_chunk, times)))
         found = found[order]
         return tables([(key, SPANS, found[a:b].ravel()) for key, a, b in parts], note_names,
                       [pa.int64(), pa.int32(), pa.list_(pa.int64())])

@@ -54,10 +54,38 @@ def test_repeats_against_brute_force(spark, monkeypatch, size, hot):
     lines = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(5, 140))) for _ in range(40)]
     rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(0, 6)))) for i in range(60)]
     rows += [(100, "ab" * 90), (101, "ba" * 90), (102, "ab" * 90), (103, None), (104, ""), (104, ""), (105, rows[7][1]), (106, "x" * 49)]
+    rows += [(107, "y" * 700), (108, "-" + "y" * 651 + "\0" * 300), (109, "\0" * 280 + "y" * 60), (110, "abc" * 200), (111, "cab" * 230)]
     found = repeats.digests(repeats.spans(frame(spark, rows), size, hot=hot)).collect()
     assert sorted(map(tuple, found)) == brute_repeats([(i, (t or "").encode()) for i, t in rows], size)
 
 
+def shared_prefix(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+@pytest.mark.parametrize("letters", ["ab", "a", "aaab", "a\0", "abcdefgh"])
+def test_longest_previous_factors_against_all_pairs(letters):
+    rng = random.Random(letters)
+    for _ in range(60):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 50))).encode() for _ in range(rng.randint(1, 8))]
+        documents = np.array([rng.choice([-1 << 63, -3, 0, 5, repeats.LAST]) for _ in texts])
+        lengths = np.array([len(t) for t in texts])
+        begins = np.cumsum(lengths) - lengths
+        text = np.repeat(np.arange(len(texts)), lengths)
+        starts = np.arange(lengths.sum())
+        left = (begins + lengths)[text] - starts
+        data = np.frombuffer(b"".join([*texts, b"ab\0ab\0ab"]), np.uint8)  # what follows the last end takes no part
+        suffixes = [texts[t][s - begins[t]:] for t, s in zip(text, starts)]
+        order, common = repeats.suffix_order(data, starts, left)
+        assert [suffixes[i] for i in order] == sorted(suffixes)
+        assert common[1:].tolist() == [shared_prefix(suffixes[a], suffixes[b]) for a, b in zip(order, order[1:])]
+        assert repeats.longest_previous_factors(data, starts, left, documents[text]).tolist() == [
+            max([shared_prefix(s, o) for o, d in zip(suffixes, documents[text]) if d < own], default=0)
+            for s, own in zip(suffixes, documents[text])]
+    empty = np.zeros(0, np.int64)
+    assert len(repeats.longest_previous_factors(np.zeros(8, np.uint8), empty, empty, empty)) == 0
+
+
 def test_repeats_of_null_ids_and_of_nothing(spark):
     text = "".join(random.Random(1).choice("abcdefgh") for _ in range(200))
     df = spark.createDataFrame([(None, text), (None, text), (5, text), (5, text[:100])], "doc_id long, text string")
