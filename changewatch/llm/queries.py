@@ -15,7 +15,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = topk.whole_numbers(table(spark, folder, "embeddings"))
+    vectors = topk.whole_numbers(table(spark, folder, "embeddings"), every_row=True)
     return topk.search(vectors, vectors.where(F.col("id") % 50 == 0))
 
 

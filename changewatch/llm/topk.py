@@ -11,14 +11,17 @@ from changewatch.llm.common import ship, written
 CANDIDATES, QUERIES = 8192, 2048  # rows in a block
 
 
-def whole_numbers(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
+def whole_numbers(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 256,
+                  every_row: bool = False) -> DataFrame:
     """id and v, the components as floor(scale * x). Vectors that are null or hold null or non-finite components are left out, as
-    are null ids; of several vectors with one id the smallest counts, so repeated rows count once."""
+    are null ids. With ``every_row`` each other row counts, also where an id comes again; else, of several vectors with one id, the
+    smallest does, so that repeated rows count once."""
     x = F.col(vector).cast("array<double>")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     whole = F.transform(x, lambda c: F.floor(c * scale).cast("long"))
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.when(finite, whole).alias("v"))
-    return rows.where("id IS NOT NULL AND v IS NOT NULL").groupBy("id").agg(F.min("v").alias("v"))
+    rows = rows.where("id IS NOT NULL AND v IS NOT NULL")
+    return rows if every_row else rows.groupBy("id").agg(F.min("v").alias("v"))
 
 
 def product(a: str, b: str) -> Column:
@@ -48,7 +51,8 @@ def local_scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 2) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` rows of ``vectors`` with the highest inner products (all, if fewer), ties
-    to the smaller id. Both tables are as of ``whole_numbers``; a row of the query's own id is no candidate.
+    to the smaller id. Both tables are as of ``whole_numbers``; a query's own row, that of its id and vector, is no candidate. Where ids
+    come again, each row is a query and a candidate of its own.
 
     The components are cut into ``lists`` parts; a list holds the scores of one part, the score of a row is their sum.
     1. Each list gives its best rows for each query; they are scored exactly, and the k-th best score is the cutoff.
@@ -56,32 +60,35 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 2) -
        reach that. The cutoffs travel with the queries.
     3. What was given by one list only and may still reach the cutoff is scored exactly.
 
-    Queries with equal vectors are searched as one, for k + 1 rows, so that each can leave itself out. Of rows with equal vectors only
-    the k + 1 smallest ids can count; the others are left out before the search, so copies make no pairs. Queries and rows
-    meet in blocks of bounded size. Vectors of unequal length are filled up with zeros; scores beyond 64 bits wrap."""
+    Equal vectors are searched for, and as, one: k + 1 of them are found for a query, so that it can leave itself out, and each gives
+    its k + 1 smallest ids. So copies make no pairs. Queries and rows meet in blocks of bounded size. Vectors of unequal length are
+    filled up with zeros; scores beyond 64 bits wrap."""
     spark = vectors.sparkSession
     ship(spark)
     depth = k + 1
     vectors, queries = written(vectors, "vectors"), written(queries, "queries")
     within = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    rows = written(vectors.withColumn("n", within).where(F.col("n") <= depth).select("id", "v"), "rows")
-    wanted = written(queries.groupBy("v").agg(F.min("id").alias("q")), "wanted")
+    firsts = vectors.withColumn("n", within).where(F.col("n") <= depth).groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    rows = written(firsts.withColumn("g", F.monotonically_increasing_id()), "rows")
+    wanted = written(queries.select("v").distinct().withColumn("q", F.monotonically_increasing_id()), "wanted")
     n_rows, width = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).head()
     row_blocks = max(1, -(-n_rows // CANDIDATES))
     query_blocks = max(1, -(-wanted.count() // QUERIES))
     step = max(1, -(-(width or 1) // lists))
     parts = F.explode(F.transform(F.sequence(F.lit(0), F.lit(lists - 1)), lambda i: F.struct(
         i.alias("list"), F.slice("v", i * step + 1, F.lit(step)).alias("part"))))
+    # both sides number blocks by one type: a key is dealt to a task by the hash of its value in its type
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    row_side = rows.select("id", F.pmod(F.xxhash64("id"), F.lit(row_blocks)).alias("row_block"), parts.alias("p")).select(
-        "id", "row_block", "p.list", "p.part").withColumn("query_block", every(query_blocks))
+    block = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    row_side = rows.select("g", block("g", row_blocks).alias("row_block"), parts.alias("p")).select(
+        "g", "row_block", "p.list", "p.part").withColumn("query_block", every(query_blocks))
 
     def query_side(asked: DataFrame) -> DataFrame:
-        return asked.select("q", "cutoff", F.pmod(F.xxhash64("q"), F.lit(query_blocks)).alias("query_block"), parts.alias("p")).select(
+        return asked.select("q", "cutoff", block("q", query_blocks).alias("query_block"), parts.alias("p")).select(
             "q", "cutoff", "query_block", "p.list", "p.part").withColumn("row_block", every(row_blocks))
 
     def give(key: tuple[pa.Scalar, ...], own: pa.Table, asked: pa.Table) -> pa.Table:
-        ids, candidates = own.column("id").to_numpy(), matrix(own.column("part"))
+        ids, candidates = own.column("g").to_numpy(), matrix(own.column("part"))
         names, asking = asked.column("q").to_numpy(), matrix(asked.column("part"))
         cutoffs = asked.column("cutoff").to_pylist()
         found: list[tuple[np.ndarray, ...]] = []
@@ -94,36 +101,42 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 2) -
                     best = np.flatnonzero(score * lists >= cutoff)
                 found.append((np.full(len(best), name), ids[best], score[best]))
         columns = [np.concatenate(column) for column in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
-        return pa.table([pa.array(np.asarray(column, np.int64)) for column in columns], ["q", "id", "score"])
+        return pa.table([pa.array(np.asarray(column, np.int64)) for column in columns], ["q", "g", "score"])
 
     def ask(asked: DataFrame) -> DataFrame:
         meet = ["list", "row_block", "query_block"]
         return row_side.groupBy(*meet).cogroup(query_side(asked).groupBy(*meet)).applyInArrow(
-            give, "q long, id long, score long")
+            give, "q long, g long, score long")
 
     def scored(pairs: DataFrame) -> DataFrame:
-        full = pairs.join(rows, "id").join(wanted.withColumnRenamed("v", "w"), "q")
-        return full.select("q", "id", product("v", "w").alias("score"))
+        full = pairs.join(rows, "g").join(wanted.withColumnRenamed("v", "w"), "q")
+        return full.select("q", "g", product("v", "w").alias("score"))
 
-    best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
-    first = scored(ask(wanted.withColumn("cutoff", F.lit(None).cast("long"))).select("q", "id").distinct())
-    reached = first.withColumn("n", F.row_number().over(best)).where(F.col("n") <= depth).groupBy("q").agg(
+    highest = Window.partitionBy("q").orderBy(F.desc("score"))
+    first = scored(ask(wanted.withColumn("cutoff", F.lit(None).cast("long"))).select("q", "g").distinct())
+    reached = first.withColumn("n", F.row_number().over(highest)).where(F.col("n") <= depth).groupBy("q").agg(
         F.min("score").alias("lowest"), F.count(F.lit(1)).alias("n"))
     # with fewer rows than asked for, every row counts
     least = F.when(F.col("n") == depth, F.col("lowest")).otherwise(F.lit(-(1 << 62)))
     cutoffs = wanted.join(reached, "q").select("q", "v", least.alias("cutoff"))
     cutoffs = written(cutoffs, "cutoffs")
-    given = ask(cutoffs).groupBy("q", "id").agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("n"))
+    given = ask(cutoffs).groupBy("q", "g").agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("n"))
     given = written(given.join(cutoffs.select("q", "cutoff"), "q"), "given")
-    whole = given.where(F.col("n") == lists).select("q", "id", "score")
+    whole = given.where(F.col("n") == lists).select("q", "g", "score")
     open_pairs = given.where((F.col("n") < lists) & (
-        F.col("score") * lists + (lists - F.col("n")) * F.col("cutoff") >= F.col("cutoff") * lists)).select("q", "id")
-    results = whole.union(scored(open_pairs)).withColumn("n", F.row_number().over(best)).where(F.col("n") <= depth)
-    results = written(results.select("q", F.col("id").alias("vec_id"), "score"), "results")
-    members = queries.join(wanted, "v").select(F.col("id").alias("query_id"), "q")
-    ranks = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return members.join(results, "q").where("query_id <> vec_id").withColumn("rank", ranks).where(
-        F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        F.col("score") * lists + (lists - F.col("n")) * F.col("cutoff") >= F.col("cutoff") * lists)).select("q", "g")
+    best = Window.partitionBy("q").orderBy(F.desc("score"), F.col("ids")[0])
+    results = whole.union(scored(open_pairs)).join(rows.select("g", "ids", F.col("v").alias("found")), "g").withColumn(
+        "n", F.row_number().over(best)).where(F.col("n") <= depth)
+    results = results.join(wanted, "q").select("q", F.col("found").eqNullSafe(F.col("v")).alias("own"), F.explode("ids").alias("vec_id"), "score")
+    ranked = results.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")))
+    tops = written(ranked.where(F.col("n") <= depth).groupBy("q").agg(
+        F.sort_array(F.collect_list(F.struct("n", "vec_id", "score", "own"))).alias("top")), "results")
+    own = F.array_position(F.transform("top", lambda x: x["own"] & (x["vec_id"] == F.col("query_id"))), F.lit(True))
+    asked = queries.join(wanted, "v").join(tops, "q").select(F.col("id").alias("query_id"), "top").withColumn("at", own)
+    others = asked.select("query_id", F.posexplode(F.filter("top", lambda x: x["n"] != F.col("at"))).alias("place", "x"))
+    return others.where(F.col("place") < k).select(
+        "query_id", (F.col("place") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
 
 
 SQL = """

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from changewatch.llm import components, minhash, simhash, topk
+from changewatch.llm import components, minhash, queries, simhash, topk
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -50,6 +50,41 @@ def test_topk_of_few_rows_and_of_none(spark):
     assert topk.search(whole.where("false"), whole.where("false")).collect() == []
 
 
+def test_topk_of_many_blocks_and_tasks(spark, monkeypatch):
+    """Blocks meet whatever the number of tasks: nothing is lost where each group has a task of its own."""
+    monkeypatch.setattr(topk, "CANDIDATES", 40)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    settings = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        rng = np.random.default_rng(3)
+        vectors = {i: [float(x) for x in rng.normal(size=6)] for i in range(200)}
+        df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+        whole = topk.whole_numbers(df)
+        got = topk.search(whole, whole.where(F.col("id") % 10 == 0)).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    expected = {i: [int(np.floor(256 * x)) for x in v] for i, v in vectors.items()}
+    assert sorted(map(tuple, got)) == brute_topk(expected, {i: v for i, v in expected.items() if i % 10 == 0}, 5)
+
+
+def test_topk_query_takes_every_row(spark, tmp_path):
+    """Rows that come again, or whose id does with another vector, are queries and candidates of their own."""
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(0, 120)), [float(x) for x in rng.integers(-2, 3, 4)]) for _ in range(300)]
+    rows += rows[:40] + [(50, [9.0, 0.0, 0.0, 0.0])] * 9
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    expected = []
+    for n, (query, v) in enumerate(rows):
+        if query % 50 == 0:
+            scores = sorted((-sum(int(256 * a) * int(256 * b) for a, b in zip(v, w)), i) for m, (i, w) in enumerate(rows) if m != n)
+            expected += [(query, rank + 1, i, -s) for rank, (s, i) in enumerate(scores[:5])]
+    assert sorted(map(tuple, queries.op1_topk(spark, str(tmp_path)).collect())) == sorted(expected)
+
+
 def test_covering_masks_meet_every_pair_within_the_radius():
     for radius in (1, 2, 3):
         masks = simhash.covering_masks(radius)
