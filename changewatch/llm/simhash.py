@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changewatch.llm.common import mapped, scratch, slices, text_of, written
+from changewatch.llm.common import gathered, mapped, scratch, slices, text_of, written
 from changewatch.llm.components import components
 
 SEED = 42
@@ -89,8 +89,9 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
         F.col("t.mask_no").alias("mask_no"), F.col("t.mask").alias("mask"),
         F.col("fingerprint").bitwiseAND(F.col("t.mask")).alias("bucket"), "fingerprint")
     rows = written(rows, "buckets")
-    sizes = written(rows.groupBy("mask_no", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-    shared = written(rows.join(sizes, ["mask_no", "bucket"]), "shared")
+    n_rows = rows.count()
+    sizes = written(gathered(rows.groupBy("mask_no", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), n_rows), "sizes")
+    shared = written(gathered(rows.join(sizes, ["mask_no", "bucket"]), n_rows), "shared")
     small = shared.where(F.col("n") <= PAIRWISE)
     left = small.select("mask_no", "bucket", F.col("fingerprint").alias("b"))
     right = small.select("mask_no", "bucket", F.col("fingerprint").alias("a"))
@@ -106,8 +107,8 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
             shared.select("mask_no", F.col("fingerprint").alias("entry")), ["mask_no", "entry"]).select(
             "a", F.col("entry").alias("b")))
         return pairs.distinct()
-    firsts = written(entries.groupBy("mask_no", "entry").agg(F.min("fingerprint").alias("b"), F.count(F.lit(1)).alias("n"))
-                     .where("n > 1"), "firsts")
+    firsts = entries.groupBy("mask_no", "entry").agg(F.min("fingerprint").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = written(gathered(firsts, 40 * n_rows), "firsts")
     starred = entries.join(firsts, ["mask_no", "entry"]).where(F.col("fingerprint") > F.col("b")).select(
         F.col("fingerprint").alias("a"), "b")
     return pairs.select("a", "b").union(starred).distinct()
@@ -121,13 +122,14 @@ def near_duplicates(docs: DataFrame, radius: int = 2, size: int = 3, key: str =
     zero and are linked like any other; null keys keep their row and are never a component's id unless all its keys are null; repeated
     rows are kept; other columns are not looked at; an empty table gives an empty one."""
     marked = written(fingerprints(docs, size, key, text), "fingerprints")
-    firsts = written(marked.groupBy("fingerprint").agg(F.min(key).alias("first")), "distinct")
-    found = written(components(links(firsts.select("fingerprint"), radius)), "components")
+    n_rows = marked.count()
+    firsts = written(gathered(marked.groupBy("fingerprint").agg(F.min(key).alias("first")), n_rows), "distinct")
+    found = written(gathered(components(links(firsts.select("fingerprint"), radius)), n_rows), "components")
     rooted = firsts.join(found, firsts["fingerprint"] == found["node"], "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
-    rooted = written(rooted, "rooted")
-    ids = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "ids")
-    members = written(rooted.join(ids, "root").select("fingerprint", "component_id"), "members")
+    rooted = written(gathered(rooted, n_rows), "rooted")
+    ids = written(gathered(rooted.groupBy("root").agg(F.min("first").alias("component_id")), n_rows), "ids")
+    members = written(gathered(rooted.join(ids, "root").select("fingerprint", "component_id"), n_rows), "members")
     return marked.join(members, "fingerprint").select(
         key, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 

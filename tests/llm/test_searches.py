@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from changewatch.llm import components, minhash, queries, simhash, topk
+from changewatch.llm import common, components, minhash, queries, simhash, topk
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -135,6 +135,23 @@ def test_components_of_chains_stars_and_nothing(spark):
     assert components.components(df.where("false")).collect() == []
 
 
+def test_components_of_few_links_take_few_tasks(spark, monkeypatch):
+    """A round on a small table does not cost a task and a file for each partition of a shuffle."""
+    parts, write = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, name, keep=False: parts.append((name, df.rdd.getNumPartitions())) or write(df, name, keep))
+    settings = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        links = spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long")
+        assert dict(components.components(links).collect()) == {i: 0 for i in range(31)}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert parts[0] == ("edges", 50) and len(parts) > 4 and max(n for _, n in parts[1:]) <= common.FEWEST
+
+
 def test_simhash_contract_and_odd_rows(spark):
     texts = [(1, "A b C d"), (2, "a B c D"), (3, None), (4, " \t\n"), (5, "one two"), (6, prose(1, 30000)), (6, prose(1, 30000)),
              (None, "a b c d"), (7, "é b c\x0bd e")]
