@@ -387,9 +387,13 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without those that have a near-duplicate with a smaller key in their group. Rows with null keys stay, rows that
-    share a key stay or go together."""
+    """Documents without those that have a near-duplicate with a smaller key in their group: the components of ``near_duplicates``, by
+    SimHash, joined with the groups of ``similar_groups``, which adds the pairs that fingerprints leave out. Rows with null keys stay,
+    rows that share a key stay or go together."""
     with scratch(docs.sparkSession):
-        later = similar_groups(docs, similarity, key=key, text=text).where(F.col(key) > F.col("group")).select(key)
+        rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).where("key IS NOT NULL")
+        sketched = near_duplicates(rows, key="key").select(F.col("key").alias("a"), F.col("component_id").alias("b")).where("a <> b")
+        similar = similar_groups(docs, similarity, key=key, text=text).select(F.col(key).alias("a"), F.col("group").alias("b"))
+        later = components(sketched.union(similar.where("a <> b"))).where("node > root").select(F.col("node").alias(key))
         later = written(later, "later", keep=True)
     return docs.join(later, docs[key] == later[key], "left_anti")

@@ -20,7 +20,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near-duplicates."""
+    """One document, the one with the smallest id, of each group of near-duplicates: by SimHash (operator 6) and by shared shingles."""
     with stage_tables(spark, docs):
         return simhash.one_of_each(docs)
 

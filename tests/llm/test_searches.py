@@ -279,3 +279,19 @@ def test_similar_groups_of_templates_and_chains(spark):
     found = dict(simhash.similar_groups(df).collect())
     near = union_find(sorted(docs), lambda a, b: jaccard(docs[a], docs[b]) >= 0.8)
     assert {i: found.get(i, i) for i in docs} == near
+
+
+def test_one_of_each_takes_simhash_and_similar_pairs(spark):
+    """What fingerprints link goes though few five-word shingles are shared, and so does what only these tell."""
+    rng = random.Random(12)
+    base = [rng.choice(WORDS) for _ in range(3000)]
+    texts = {n: " ".join(base[n:n + 60]) for n in (1, 2)} | {7: prose(3, 80)}
+    texts |= {20: "x y z " + "a b c " * 400, 21: "x y q " + "a b c " * 400}
+    sketch = {i: simhash.simhash(simhash.shingle_hashes(t, 3)) for i, t in texts.items()}
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
+    by_bits = union_find(texts, lambda a, b: ((sketch[a] ^ sketch[b]) & (1 << 64) - 1).bit_count() <= 2)
+    by_sets = union_find(texts, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    both = union_find(texts, lambda a, b: by_bits[a] == by_bits[b] or by_sets[a] == by_sets[b])
+    assert by_bits[21] == 20 != by_sets[21] and by_sets[2] == 1 != by_bits[2]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in simhash.one_of_each(df).collect()} == {i for i in texts if both[i] == i}
