@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -34,6 +35,7 @@ class Words:
     ENTRY = 230  # bytes of an entry besides the word and its ids
 
     def __init__(self, path: str, most: int = 96 << 20):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; no threads beside it
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
         self.known: dict[bytes, bytes] = {}
@@ -42,7 +44,10 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.marks = {mark: self.one(mark) for mark in (".", ",")}
+        self.marks = {mark.encode(): self.one(mark) for mark in (".", ",")}
+
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids  # without offsets
 
     def one(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
@@ -55,29 +60,36 @@ class Words:
         return data.split() if b"<|" in data else data.lower().split()
 
     def learn(self, fresh: set[bytes]) -> None:
-        plain: dict[str, list[tuple[bytes, bytes]]] = defaultdict(list)
+        stem_of: dict[bytes, bytes] = {}
         others = []
         for word in fresh:
-            text = word.decode()
-            mark = self.marks.get(text[-1], b"")
-            stem = text[:-1] if mark else text
-            if stem.isalpha() and max(stem) < "\u0250":
-                plain[stem].append((word, mark))
+            if word.isalpha():  # of bytes: ASCII letters alone
+                stem_of[word] = word
+            elif word[-1:] in self.marks and word[:-1].isalpha():
+                stem_of[word] = word[:-1]
             else:
-                others.append(word)
-        stems = list(plain)
+                text = word.decode()
+                stem = text[:-1] if word[-1:] in self.marks else text
+                if stem.isalpha() and max(stem) < "\u0250":
+                    stem_of[word] = stem.encode()
+                else:
+                    others.append(word)
+        stems = list(set(stem_of.values()))
+        ids_of: dict[bytes, bytes] = {}
         for at in range(0, len(stems), 2000):
             run = stems[at:at + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.ids(b" ".join(run).decode()), "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(run):
-                others += [word for stem in run for word, _ in plain[stem]]
-                continue
-            data, start = ids.tobytes(), 0
-            for stem, end in zip(run, (4 * ends).tolist()):
-                for word, mark in plain[stem]:
-                    self.known[word] = data[start:end] + mark
-                start = end
+            if len(ends) == len(run):
+                data, ends = ids.tobytes(), (4 * ends).tolist()
+                ids_of.update(zip(run, map(data.__getitem__, map(slice, [0, *ends], ends))))
+        for word, stem in stem_of.items():
+            if stem not in ids_of:
+                others.append(word)
+            elif len(stem) == len(word):
+                self.known[word] = ids_of[stem]
+            else:
+                self.known[word] = ids_of[stem] + self.marks[word[-1:]]
         for word in others:
             self.known[word] = self.one(word.decode())
 
@@ -86,19 +98,12 @@ class Words:
         if self.size > self.most:
             self.older, self.known, self.size = self.known, {}, 0
         cut = [self.words(text) for text in texts]
-        words = [word for own in cut for word in own]
-        ids = list(map(self.known.get, words))
-        fresh = {word for word, own in zip(words, ids) if own is None}
+        fresh = set().union(*cut).difference(self.known)
         again = fresh & self.older.keys()
         self.known.update((word, self.older[word]) for word in again)
         self.learn(fresh - again)
-        self.size += sum(self.ENTRY + len(word) + len(self.known[word]) for word in fresh)
-        ids = [own if own is not None else self.known[word] for word, own in zip(words, ids)]
-        found, start = [], 0
-        for own in cut:
-            found.append(b"".join(ids[start:start + len(own)]))
-            start += len(own)
-        return found
+        self.size += self.ENTRY * len(fresh) + sum(map(len, fresh)) + sum(map(len, map(self.known.__getitem__, fresh)))
+        return [b"".join(map(self.known.__getitem__, own)) for own in cut]
 
 
 @lru_cache(maxsize=2)
