@@ -113,3 +113,13 @@ def test_filter_drops_rows_before_the_shuffle(spark, grown):
 def test_filters_have_a_bound():
     assert reduced.bits_for(0) == 1 << 16 and reduced.bits_for(10**6) == 10**7
     assert reduced.bits_for(10**8) == reduced.MOST_BITS and reduced.bits_for(10**10) is None
+
+
+def test_changes_in_scope_are_dealt_to_all_tasks(spark):
+    """However small their files are, they are not told to each task, nor gathered in one; a repeated id counts once."""
+    tables = derived.from_events(spark, FOLDER)
+    flags = queries.change_flags(tables)
+    plan = flags._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "REPARTITION_BY_NUM" in plan and plan.count("BroadcastExchange") <= 1
+    twice = readers.Tables(lambda name: tables[name].union(tables[name]))
+    assert sorted(map(tuple, queries.change_flags(twice).collect())) == sorted(map(tuple, flags.collect()))
