@@ -6,7 +6,6 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 from struct import pack as packed
 
 import numpy as np
@@ -16,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from changewatch.llm.common import mapped, slices, text_of, written
+from changewatch.llm.common import held, mapped, slices, text_of, written
 
 Layout = list[tuple[list[int], int]]
 
@@ -106,7 +105,7 @@ class Words:
         return [b"".join(map(self.known.__getitem__, own)) for own in cut]
 
 
-@lru_cache(maxsize=2)
+@held
 def words_of(path: str) -> Words:
     return Words(path)
 
@@ -140,7 +139,7 @@ def pieces(docs: DataFrame, size: int = 4096, end_id: int = 2, tokenizer: str |
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     return mapped(rows, cut, f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
-                                "place long, part long")
+                                "place long, part long", keep=words_of)
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int) -> Layout:

@@ -7,7 +7,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +15,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer, decoders, models, normalizers
 
-from changewatch.llm.common import mapped, slices, text_of
+from changewatch.llm.common import held, mapped, slices, text_of
 
 MARK = "▁"
 # Fixed values of the format: field numbers of the model file, kinds of piece, kinds of model.
@@ -168,7 +167,7 @@ def re_spaces():
     return Regex(" {2,}")
 
 
-@lru_cache(maxsize=2)
+@held
 def backend(path: str) -> Backend:
     # the library reads this when it first runs a batch, in the worker
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
@@ -195,7 +194,7 @@ def encode(docs: DataFrame, model: str | None = None, key: str = "doc_id", text:
 
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return mapped(rows, run, f"key {kind}, ids array<int>, parity boolean").withColumnRenamed("key", key)
+    return mapped(rows, run, f"key {kind}, ids array<int>, parity boolean", keep=backend).withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, model: str | None = None, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -212,7 +211,7 @@ def decode(encoded: DataFrame, model: str | None = None, key: str = "doc_id", id
 
     rows = encoded.select(F.col(key).alias("key"), F.col(ids).cast("array<int>").alias("ids"))
     kind = rows.schema["key"].dataType.simpleString()
-    return mapped(rows, run, f"key {kind}, text string").withColumnRenamed("key", key)
+    return mapped(rows, run, f"key {kind}, text string", keep=backend).withColumnRenamed("key", key)
 
 
 def round_trip(docs: DataFrame, model: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -237,4 +236,4 @@ def round_trip(docs: DataFrame, model: str | None = None, key: str = "doc_id", t
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     return mapped(rows, run, f"key {kind}, n_bytes long, n_tokens long, ids_crc32 long, parity boolean, "
-                                "decoded boolean").withColumnRenamed("key", key)
+                                "decoded boolean", keep=backend).withColumnRenamed("key", key)

@@ -222,6 +222,7 @@ def scores(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
         return table_of(rows, LISTS)
 
     def summarise(own: pa.Table) -> pa.Table:
+        tidy()
         rows = []
         for language, (keys, counts) in summed(own).items():
             keys, counts = keys[counts > 0], counts[counts > 0]

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from changewatch.llm.common import mapped, slices, text_of
+from changewatch.llm.common import held, mapped, slices, text_of
 
 MARK = "▁"
 
@@ -74,7 +73,7 @@ class Counter:
         return counted + len(left)
 
 
-@lru_cache(maxsize=4)
+@held
 def counter(path: str, chunk: int, overlap: int) -> Counter:
     return Counter(path, chunk, overlap)
 
@@ -96,5 +95,5 @@ def count_tokens(docs: DataFrame, model: str | None = None, key: str = "doc_id",
 
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return (mapped(rows, counts, f"key {kind}, n_bytes long, n_tokens long")
+    return (mapped(rows, counts, f"key {kind}, n_bytes long, n_tokens long", keep=counter)
             .select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))

@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from changewatch.llm import chat, packing, pages, pieces, quality, repeats, tokens
+from changewatch.llm import chat, common, packing, pages, pieces, quality, repeats, tokens
 
 PARTS = ["a", "b", "the ", "  ", "\n", "é", "▁", "漢", "hello.", " wor", "\r", "<s>", "\t", "x" * 30, " ", "!", "'s", "12", "İ", "Σ",
          "é", " ", "...", ",", "ß", "\x1c", "Á ", "<|endoftext|>", "\U0001f600"]
@@ -377,3 +377,12 @@ def test_languages_without_trusted_text_are_judged_by_all(spark):
         found = {r.doc_id: r for r in quality.judged(docs, labels).withColumnRenamed("keep", "kept").collect()}
         assert {i: r.model for i, r in found.items()} == {i: lang or "" for i, _, lang in rows}
         assert {i for i, r in found.items() if r.kept} == set(range(80))
+
+
+def test_what_an_operator_holds_goes_with_the_next_one():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own = packing.words_of(path)
+    common.tidy(packing.words_of)
+    assert packing.words_of(path) is own
+    common.tidy()
+    assert packing.words_of.cache_info().currsize == 0
