@@ -139,13 +139,13 @@ class Backend:
 
     def learn(self, units: set[str]) -> None:
         fresh = [unit for unit in units if unit not in self.known]
-        ours = [struct.pack(f"<{len(e.ids)}i", *e.ids) for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-        theirs = self.library.encode(fresh, return_type="numpy", num_threads=1)
+        ours = [encoded.ids for encoded in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+        theirs = self.library.encode(fresh, out_type=int, num_threads=1)
         for unit, own, other in zip(fresh, ours, theirs):
             if not unit:  # a lone space at the end: the mark itself
-                own, other = struct.pack("<i", self.mark), np.array([self.mark], "<i4")
-            self.known[unit] = own
-            if own != other.astype("<i4").tobytes():
+                own = other = [self.mark]
+            self.known[unit] = struct.pack(f"<{len(own)}i", *own)
+            if own != other:
                 self.apart.add(unit)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:

@@ -386,3 +386,18 @@ def test_what_an_operator_holds_goes_with_the_next_one():
     assert packing.words_of(path) is own
     common.tidy()
     assert packing.words_of.cache_info().currsize == 0
+
+
+def test_parity_compares_lists_of_the_original_library():
+    own = pieces.Backend(public_tokenizers.path("piece_bpe_32k.model"))
+    library = own.library
+
+    class Lists:
+        def encode(self, units, **asked):
+            assert asked.get("out_type") is int and "return_type" not in asked  # an array for each unit costs more than its encoding
+            return [ids if unit != "odd" else ids + [1] for unit, ids in zip(units, library.encode(units, **asked))]
+
+    own.library = Lists()
+    found = own.encode(["some words ", "an odd word", " ", ""])
+    assert [same for _, same in found] == [True, False, True, True]
+    assert found[0][0].tolist() == library.encode("some words ") and found[1][0].tolist() == library.encode("an odd word")
