@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections import defaultdict
@@ -13,20 +14,50 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from changewatch.llm.common import held, mapped, slices, text_of, written
 
 Layout = list[tuple[list[int], int]]
 
 
+#: The steps of a file under which a word of Latin letters alone, in lower case, is one unit and stays as it is but for its bytes' names.
+LETTERS_STAY = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
+
+def of_letters(file: Tokenizer) -> Tokenizer:
+    """What gives words of Latin letters, in lower case and with a space between them, the ids that ``file`` gives them: the file's
+    model after a cut at spaces where the file's other steps do nothing else to such words, and the file itself where they may."""
+    steps = json.loads(file.to_str())
+    if any(steps[name] != own for name, own in LETTERS_STAY.items()) or steps["post_processor"] or any(
+            token["content"].isalpha() for token in steps["added_tokens"]):
+        return file
+    model = steps["model"]
+    if model["type"] != "BPE" or any(model[name] for name in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
+        return file
+    # words come once each, so the model's own cache would only cost time
+    plain = Tokenizer(models.BPE(model["vocab"], [tuple(pair) for pair in model["merges"]], cache_capacity=0,
+                                 end_of_word_suffix=model["end_of_word_suffix"], fuse_unk=model["fuse_unk"]))
+    plain.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return plain
+
+
 class Words:
     """Ids of texts by the tokenizers library, each distinct word encoded once.
 
     The file's pre-tokenizer never joins characters across white space and its other steps look at one character
     or one run of marks at a time, so the ids of a text are those of its words between ASCII white space. A word of
     Latin letters alone is one unit that ends with an end-of-word piece, and so is a full stop or comma after
-    it. Such words are encoded many to a text and told apart by those pieces; all others one by one.
+    it. Such words are encoded many to a text, without the steps that leave them as they are (``of_letters``), and told apart by those
+    pieces; all others one by one.
 
     What is known comes in two generations of at most ``most`` bytes each, counted with what Python needs for an entry. When the younger one
     is full it becomes the older one, whose words return to the younger one as they are met again; words not met since then go."""
@@ -36,6 +67,7 @@ class Words:
     def __init__(self, path: str, most: int = 96 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; no threads beside it
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = of_letters(self.tokenizer)
         self.most = most
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -46,7 +78,7 @@ class Words:
         self.marks = {mark.encode(): self.one(mark) for mark in (".", ",")}
 
     def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids  # without offsets
+        return self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids  # without offsets
 
     def one(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
@@ -59,38 +91,34 @@ class Words:
         return data.split() if b"<|" in data else data.lower().split()
 
     def learn(self, fresh: set[bytes]) -> None:
+        plain = set(filter(bytes.isalpha, fresh))  # of bytes: ASCII letters alone
         stem_of: dict[bytes, bytes] = {}
         others = []
-        for word in fresh:
-            if word.isalpha():  # of bytes: ASCII letters alone
-                stem_of[word] = word
-            elif word[-1:] in self.marks and word[:-1].isalpha():
-                stem_of[word] = word[:-1]
-            else:
-                text = word.decode()
-                stem = text[:-1] if word[-1:] in self.marks else text
-                if stem.isalpha() and max(stem) < "\u0250":
-                    stem_of[word] = stem.encode()
-                else:
+        for word in fresh - plain:
+            stem = word[:-1] if word[-1:] in self.marks else word
+            if not stem.isalpha():
+                text = stem.decode()
+                if not text.isalpha() or max(text) >= "\u0250" or "\u0130" in text:  # that one is two characters in lower case
                     others.append(word)
-        stems = list(set(stem_of.values()))
+                    continue
+            stem_of[word] = stem
+        stems = list(plain.union(stem_of.values()))
         ids_of: dict[bytes, bytes] = {}
         for at in range(0, len(stems), 2000):
             run = stems[at:at + 2000]
-            ids = np.array(self.ids(b" ".join(run).decode()), "<u4")
+            ids = np.array(self.ids(b" ".join(run).decode().lower()), "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(run):
                 data, ends = ids.tobytes(), (4 * ends).tolist()
                 ids_of.update(zip(run, map(data.__getitem__, map(slice, [0, *ends], ends))))
+        if len(ids_of) < len(stems):
+            others += [word for word in plain if word not in ids_of] + [word for word, stem in stem_of.items() if stem not in ids_of]
+            plain, stem_of = plain & ids_of.keys(), {word: stem for word, stem in stem_of.items() if stem in ids_of}
+        self.known.update(zip(plain, map(ids_of.__getitem__, plain)))
         for word, stem in stem_of.items():
-            if stem not in ids_of:
-                others.append(word)
-            elif len(stem) == len(word):
-                self.known[word] = ids_of[stem]
-            else:
-                self.known[word] = ids_of[stem] + self.marks[word[-1:]]
-        for word in others:
-            self.known[word] = self.one(word.decode())
+            self.known[word] = ids_of[stem] if len(stem) == len(word) else ids_of[stem] + self.marks[word[-1:]]
+        found = self.tokenizer.encode_batch_fast([word.decode() for word in others], add_special_tokens=False) if others else []
+        self.known.update((word, packed(f"<{len(own)}I", *own.ids)) for word, own in zip(others, found))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""

@@ -388,6 +388,23 @@ def test_what_an_operator_holds_goes_with_the_next_one():
     assert packing.words_of.cache_info().currsize == 0
 
 
+def test_letters_are_encoded_by_the_model_alone_and_alike():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["Plain words, and MORE words.", "Größe façade ÀÉÎ, ŉ ſtraße ª º Ǆ ǅ ȺȾ ß.", "İstanbul İ İ. café é.",
+             "it's o'clock's 's end.. a.b x,y (z) 12a ١٢ слово слово. λόγος 漢字 🙂", "<|endoftext|> A<|endoftext|>b", " a b a​b", ""]
+    own = packing.Words(path)
+    for text, ids in zip(texts, own.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    plain = packing.Words(path)
+    plain.tokenizer = None  # the file's other steps are not asked
+    ids, = plain.encode(["Plain words, and Größe."])
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode("Plain words, and Größe.", add_special_tokens=False).ids
+    other = Tokenizer.from_file(path)
+    other.normalizer = None
+    assert packing.of_letters(other) is other
+
+
 def test_parity_compares_lists_of_the_original_library():
     own = pieces.Backend(public_tokenizers.path("piece_bpe_32k.model"))
     library = own.library
