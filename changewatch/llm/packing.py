@@ -11,12 +11,13 @@ from struct import pack as packed
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from changewatch.llm.common import held, mapped, slices, text_of, written
+from changewatch.llm.common import held, mapped, text_of, written
 
 Layout = list[tuple[list[int], int]]
 
@@ -36,8 +37,8 @@ def of_letters(file: Tokenizer) -> Tokenizer:
     """What gives words of Latin letters, in lower case and with a space between them, the ids that ``file`` gives them: the file's
     model after a cut at spaces where the file's other steps do nothing else to such words, and the file itself where they may."""
     steps = json.loads(file.to_str())
-    if any(steps[name] != own for name, own in LETTERS_STAY.items()) or steps["post_processor"] or any(
-            token["content"].isalpha() for token in steps["added_tokens"]):
+    if any(steps[name] != own for name, own in LETTERS_STAY.items()) or steps["post_processor"] or not all(
+            token["content"].startswith("<|") for token in steps["added_tokens"]):
         return file
     model = steps["model"]
     if model["type"] != "BPE" or any(model[name] for name in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
@@ -54,83 +55,114 @@ class Words:
     """Ids of texts by the tokenizers library, each distinct word encoded once.
 
     The file's pre-tokenizer never joins characters across white space and its other steps look at one character
-    or one run of marks at a time, so the ids of a text are those of its words between ASCII white space. A word of
-    Latin letters alone is one unit that ends with an end-of-word piece, and so is a full stop or comma after
-    it. Such words are encoded many to a text, without the steps that leave them as they are (``of_letters``), and told apart by those
-    pieces; all others one by one.
+    or one run of marks at a time, so the ids of a text are those of its words between ASCII white space. Where the file's steps are
+    those of ``LETTERS_STAY``, the ASCII marks after a word of Latin letters and digits are one unit, so the word and its marks are known apart.
+    A word of Latin letters alone is one unit that ends with an end-of-word piece. Such words are encoded many to a text, without the
+    steps that leave them as they are (``of_letters``), and told apart by those pieces; all others one by one.
 
-    What is known comes in two generations of at most ``most`` bytes each, counted with what Python needs for an entry. When the younger one
-    is full it becomes the older one, whose words return to the younger one as they are met again; words not met since then go."""
+    Words and their ids are Arrow columns, which need some 40 bytes a word. When they have more than ``most`` bytes, those met last
+    stay, of half as many bytes."""
 
-    ENTRY = 230  # bytes of an entry besides the word and its ids
+    RUN = 500  # words of a text
+    LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the one that is two characters in lower case
+    MARKS = "".join(mark for mark in map(chr, range(33, 127)) if not mark.isalnum())
 
-    def __init__(self, path: str, most: int = 96 << 20):
+    def __init__(self, path: str, most: int = 12 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; no threads beside it
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = of_letters(self.tokenizer)
         self.most = most
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.size = 0
+        self.known, self.round = pa.array(["", ".", ","]), 0
+        self.ids_of, self.met = self.each(self.known.to_pylist()), np.zeros(len(self.known), np.int32)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.marks = {mark.encode(): self.one(mark) for mark in (".", ",")}
 
     def ids(self, text: str) -> list[int]:
         return self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids  # without offsets
 
-    def one(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return packed(f"<{len(ids)}I", *ids)
-
-    def words(self, text: str) -> list[bytes]:
-        """Words in lower case as far as ASCII goes, which the normaliser does anyway, unless the text may hold the name
-        of a special token."""
-        data = text.encode()
-        return data.split() if b"<|" in data else data.lower().split()
-
-    def learn(self, fresh: set[bytes]) -> None:
-        plain = set(filter(bytes.isalpha, fresh))  # of bytes: ASCII letters alone
-        stem_of: dict[bytes, bytes] = {}
-        others = []
-        for word in fresh - plain:
-            stem = word[:-1] if word[-1:] in self.marks else word
-            if not stem.isalpha():
-                text = stem.decode()
-                if not text.isalpha() or max(text) >= "\u0250" or "\u0130" in text:  # that one is two characters in lower case
-                    others.append(word)
-                    continue
-            stem_of[word] = stem
-        stems = list(plain.union(stem_of.values()))
-        ids_of: dict[bytes, bytes] = {}
-        for at in range(0, len(stems), 2000):
-            run = stems[at:at + 2000]
-            ids = np.array(self.ids(b" ".join(run).decode().lower()), "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(run):
-                data, ends = ids.tobytes(), (4 * ends).tolist()
-                ids_of.update(zip(run, map(data.__getitem__, map(slice, [0, *ends], ends))))
-        if len(ids_of) < len(stems):
-            others += [word for word in plain if word not in ids_of] + [word for word, stem in stem_of.items() if stem not in ids_of]
-            plain, stem_of = plain & ids_of.keys(), {word: stem for word, stem in stem_of.items() if stem in ids_of}
-        self.known.update(zip(plain, map(ids_of.__getitem__, plain)))
-        for word, stem in stem_of.items():
-            self.known[word] = ids_of[stem] if len(stem) == len(word) else ids_of[stem] + self.marks[word[-1:]]
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in others], add_special_tokens=False) if others else []
-        self.known.update((word, packed(f"<{len(own)}I", *own.ids)) for word, own in zip(others, found))
+    def each(self, words: list[str]) -> pa.Array:
+        """The ids of words by all steps of the file."""
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return pa.array([packed(f"<{len(own)}I", *own.ids) for own in found], pa.large_binary())
+
+    def parted(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Words without their last marks, and those marks."""
+        marked = pc.match_substring_regex(words, rf"^[0-9{self.LETTERS}]+[!-/:-@\[-`{{-~]+$")
+        if self.letters is self.tokenizer:
+            marked = pa.repeat(False, len(words))
+        some = words.filter(marked)
+        stems = pc.utf8_rtrim(some, self.MARKS)
+        marks = pc.replace_substring_regex(some, f"^[0-9{self.LETTERS}]+", "")
+        return pc.replace_with_mask(words, marked, stems), pc.replace_with_mask(pa.repeat("", len(words)), marked, marks)
+
+    def learn(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words."""
+        chosen = pc.match_substring_regex(words, f"^[{self.LETTERS}]+$")
+        letters = words.filter(chosen).to_pylist()
+        data, ends, failed = [], [np.zeros(1, np.int64)], []
+        for at in range(0, len(letters), self.RUN):
+            run = letters[at:at + self.RUN]
+            ids = np.array(self.ids(" ".join(run).lower()), "<u4")
+            own = np.flatnonzero(self.ends[ids]) + 1
+            if len(own) == len(run) and own[-1] == len(ids):
+                data.append(ids)
+                ends.append(own + ends[-1][-1])
+            else:
+                failed += range(at, at + len(run))
+                ends.append(np.repeat(ends[-1][-1], len(run)))
+        flat = np.concatenate([*data, np.zeros(0, "<u4")])
+        found = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(letters), [None, pa.py_buffer(4 * np.concatenate(ends)), pa.py_buffer(flat)])
+        place = np.empty(len(words), np.int64)
+        chosen = chosen.to_numpy(zero_copy_only=False)
+        place[chosen] = np.arange(len(letters))
+        odd = np.sort(np.append(np.flatnonzero(~chosen), np.flatnonzero(chosen)[failed])).astype(np.int64)
+        if not len(odd):
+            return found
+        place[odd] = len(letters) + np.arange(len(odd))
+        return pa.concat_arrays([found, self.each(words.take(pa.array(odd)).to_pylist())]).take(pa.array(place))
+
+    def looked_up(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, those that are not known yet learnt."""
+        at = pc.index_in(words, value_set=self.known)
+        fresh = words.filter(at.is_null())
+        place = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[at.is_null().to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(fresh))
+        if len(fresh):
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.ids_of = pa.concat_arrays([self.ids_of, self.learn(fresh)])
+            self.met = np.append(self.met, np.zeros(len(fresh), np.int32))
+        self.round += 1
+        self.met[place] = self.round
+        found = self.ids_of.take(pa.array(place))
+        if self.known.nbytes + self.ids_of.nbytes + self.met.nbytes > self.most:
+            order = np.argsort(-self.met, kind="stable")
+            sizes = 16 + pc.add(pc.binary_length(self.known).cast("int64"), pc.binary_length(self.ids_of)).to_numpy()
+            kept = np.sort(order[np.cumsum(sizes[order]) <= self.most // 2])
+            self.known, self.ids_of, self.met = self.known.take(pa.array(kept)), self.ids_of.take(pa.array(kept)), self.met[kept]
+        return found
+
+    def encoded(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        # in lower case as far as ASCII goes, which the normaliser does anyway, unless the text may hold the name of a special token
+        lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lower)
+        del lower
+        words = split.flatten().dictionary_encode()
+        ends = split.offsets.to_numpy()
+        del split
+        parts = pa.concat_arrays(self.parted(words.dictionary)).dictionary_encode()
+        ids = self.looked_up(parts.dictionary).take(parts.indices)
+        many = len(words.dictionary)
+        of_word = pc.binary_join_element_wise(ids[:many], ids[many:], pa.scalar(b"", pa.large_binary()))
+        found = of_word.take(words.indices)
+        _, offsets, data = found.buffers()
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(texts), [None, pa.py_buffer(np.frombuffer(offsets, np.int64)[ends - ends[0]]), data])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if self.size > self.most:
-            self.older, self.known, self.size = self.known, {}, 0
-        cut = [self.words(text) for text in texts]
-        fresh = set().union(*cut).difference(self.known)
-        again = fresh & self.older.keys()
-        self.known.update((word, self.older[word]) for word in again)
-        self.learn(fresh - again)
-        self.size += self.ENTRY * len(fresh) + sum(map(len, fresh)) + sum(map(len, map(self.known.__getitem__, fresh)))
-        return [b"".join(map(self.known.__getitem__, own)) for own in cut]
+        return self.encoded(pa.array(texts, pa.string())).to_pylist()
 
 
 @held
@@ -138,6 +170,18 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
+def runs(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows, each with texts of at most ``most_bytes`` or one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def pieces(docs: DataFrame, size: int = 4096, end_id: int = 2, tokenizer: str | None = None,
            key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents as pieces of at most ``size`` ids: key, start, length, ids_crc32, doc_tokens, and ``part`` and ``place``:
@@ -147,14 +191,18 @@ def pieces(docs: DataFrame, size: int = 4096, end_id: int = 2, tokenizer: str |
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, counts = words_of(path), TaskContext.get().partitionId(), defaultdict(int)
-        for rows, texts in slices(batches, "text", 1 << 21):
+        for rows in runs(batches, "text", 1 << 21):
             columns: list[list] = [[] for _ in range(6)]
-            for i, ids in enumerate(own.encode(texts)):
-                ids += last
-                total = len(ids) // 4
+            found = own.encoded(rows.column("text"))
+            ends = np.frombuffer(found.buffers()[1], np.int64).tolist()
+            data = memoryview(found.buffers()[2] or b"")
+            for i, (begin, end) in enumerate(zip(ends, ends[1:])):
+                total = (end - begin) // 4 + 1
                 for start in range(0, total, size):
                     length = min(size, total - start)
-                    crc = zlib.crc32(ids[4 * start:4 * (start + length)])
+                    crc = zlib.crc32(data[begin + 4 * start:min(end, begin + 4 * (start + length))])
+                    if start + length == total:
+                        crc = zlib.crc32(last, crc)
                     for column, value in zip(columns, (i, start, length, crc, total, counts[length])):
                         column.append(value)
                     counts[length] += 1

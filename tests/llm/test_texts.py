@@ -418,3 +418,54 @@ def test_parity_compares_lists_of_the_original_library():
     found = own.encode(["some words ", "an odd word", " ", ""])
     assert [same for _, same in found] == [True, False, True, True]
     assert found[0][0].tolist() == library.encode("some words ") and found[1][0].tolist() == library.encode("an odd word")
+
+
+def test_words_are_known_apart_from_their_last_marks():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    own, asked = packing.Words(path), []
+
+    class File:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    own.tokenizer = File()
+    texts = ["thesblest*** la%%% la.%%% Größe,%%% é!! ", "la*** x_, y's. 12a. a<|endoftext|>", "<|endoftext|>.. <|x|>, a=b= é. É.\x1c.",
+             " la. a̸. a.̸ ≮ 'S. it's' la.'s İ. ǅ. ª. ½, \v\f\r la", "", " . ", "́. .́"]
+    for text, ids in zip(texts, own.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert {"***", "%%%", ".%%%"} <= set(asked) and not {"thesblest***", "la%%%", "la.%%%", "größe,%%%"} & {word.lower() for word in asked}
+
+
+def test_known_words_are_held_in_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    own = packing.Words(public_tokenizers.path("word_bpe_49k.json"))
+    words = ["".join(rng.choices("aeinrst", k=9)) for _ in range(60000)]
+    own.encode(["some first words"])
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    for at in range(0, len(words), 5000):
+        own.encode([" ".join(words[at:at + 5000])])
+    held = pa.total_allocated_bytes() - before + tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 5 << 20  # some 240 bytes a word before
+    small = packing.Words(public_tokenizers.path("word_bpe_49k.json"), most=1 << 18)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for at in [*range(0, 40000, 5000), 0]:  # more than it keeps, and met again
+        text = " ".join(words[at:at + 5000])
+        assert np.frombuffer(small.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert small.known.nbytes + small.ids_of.nbytes + small.met.nbytes <= small.most
+
+
+def test_runs_of_rows_are_whole_and_bounded():
+    import pyarrow as pa
+
+    texts = ["a" * n for n in (3, 0, 9, 2, 2, 2, 0, 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    found = [run.column("text").to_pylist() for run in packing.runs([batch, batch.slice(0, 0), batch.slice(2, 2)], "text", 5)]
+    assert found == [texts[:2], texts[2:3], texts[3:5], texts[5:7], texts[7:], texts[2:3], texts[3:4]]
