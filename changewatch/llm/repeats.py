@@ -238,9 +238,10 @@ def signed(values: np.ndarray) -> np.ndarray:
 
 
 def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "text", hot: int = 2000,
-          carry: list[str] | None = None) -> DataFrame:
+          carry: list[str] | None = None, cut: bool = False) -> DataFrame:
     """Per row: key, text (null as empty), removed, an array of (start, end) of maximal removed runs in bytes, and the columns
-    named in ``carry``.
+    named in ``carry``. To ``cut`` gives the texts as ``cut_text`` does instead of the runs, in the same task: with a second
+    function behind it each task would take two Python workers, which then all stay with the executor.
 
     Judged on the input; ids that are equal are not smaller; a null id counts as larger than all others and as equal to other nulls.
     Texts shorter than ``size`` lose nothing. Repeated rows have one id and keep their text alike. Other columns are not looked
@@ -438,6 +439,9 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
             removed[i] = merged
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         own = own.take(pa.array(chunk.order, pa.int64()))
+        if cut:
+            texts = [cut_text(text, gone) if gone else text for text, gone in zip(own.column("text").to_pylist(), removed)]
+            return pa.table([own.column("key"), pa.array(texts, pa.string()), *map(own.column, carried)], ["key", "text", *carried])
         return pa.table([own.column("key"), own.column("text"), pa.array(removed, span), *map(own.column, carried)],
                         ["key", "text", "removed", *carried])
 
@@ -452,9 +456,9 @@ def spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "tex
     found = sent.groupBy("bucket").applyInArrow(find_copies, note)
     kinds = {name: named.schema[name].dataType.simpleString() for name in ("key", *carried)}
     others = "".join(f", {name} {kinds[name]}" for name in carried)
-    cut = by(named).cogroup(by(found.union(copies))).applyInArrow(
-        join_spans, f"key {kinds['key']}, text string, removed array<struct<start:bigint,end:bigint>>{others}")
-    return cut.select(F.col("key").alias(key), "text", "removed", *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
+    told = "" if cut else ", removed array<struct<start:bigint,end:bigint>>"
+    joined = by(named).cogroup(by(found.union(copies))).applyInArrow(join_spans, f"key {kinds['key']}, text string{told}{others}")
+    return joined.select(F.col("key").alias(key), "text", *([] if cut else ["removed"]), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
 
 
 def cut_bytes(text: str | bytes, removed: list) -> bytes:
@@ -485,20 +489,7 @@ def shortened(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str =
     """All columns of documents with the texts shortened and, if there is such a column, their length in characters. Only whole
     characters are taken out; a text may end up empty, its row stays."""
     others = [c for c in docs.columns if c not in (key, text)]
-    found = spans(docs, size, key, text, carry=others).withColumnRenamed(key, "key")
-    columns = ["key", "text", "removed", *[f"c{i}" for i in range(len(others))]]
-    found = found.toDF(*columns)
-
-    def run(batches):
-        for batch in batches:
-            pairs = zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist())
-            cut = [cut_text(own, removed) if removed else own for own, removed in pairs]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cut, pa.string()) if name == "text" else batch.column(name) for name in columns if name != "removed"],
-                [name for name in columns if name != "removed"])
-
-    schema = ", ".join(f"{name} {found.schema[name].dataType.simpleString()}" for name in columns if name != "removed")
-    cut = mapped(found, run, schema).toDF(key, text, *others)
+    cut = spans(docs, size, key, text, carry=others, cut=True).toDF(key, text, *others)
     if length in others:
         cut = cut.withColumn(length, F.length(text).cast(cut.schema[length].dataType))
     return cut.select(*map(quoted, docs.columns))

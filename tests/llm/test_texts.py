@@ -469,3 +469,14 @@ def test_runs_of_rows_are_whole_and_bounded():
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
     found = [run.column("text").to_pylist() for run in packing.runs([batch, batch.slice(0, 0), batch.slice(2, 2)], "text", 5)]
     assert found == [texts[:2], texts[2:3], texts[3:5], texts[5:7], texts[7:], texts[2:3], texts[3:4]]
+
+
+def test_shortened_texts_take_one_worker_a_task(spark):
+    passage = "a passage of more than fifty bytes that two documents have alike, é at its end é"
+    rows = [(1, passage), (2, "ü " + passage + " ü"), (3, None), (None, passage), (4, "short")]
+    docs = spark.createDataFrame([(*row, 7) for row in rows], "doc_id long, text string, n_chars int")
+    found = repeats.shortened(docs)
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
+    runs = {r.doc_id: r for r in repeats.spans(docs).collect()}
+    assert {r.doc_id: (r.text, r.n_chars) for r in found.collect()} == {
+        i: (shown := repeats.cut_text(r.text, r.removed), len(shown)) for i, r in runs.items()}
