@@ -193,9 +193,10 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id"
     (the ``lead`` shingles). Rare ones come first, so what many documents have, as a template, is in neither unless they are little
     else. In each bucket, the documents of a shingle, every one is first compared with the one of the smallest key and the one that has the fewest
     rarer shingles: two pairs a row, which make one component of a family. Then components that meet in a bucket are compared by their roots, and
-    opened if members can be similar in spite of how far the roots are apart. Before texts are read, a bitmap of each document tells
+    opened if members can be similar in spite of how far the roots are apart; then the smaller one's members meet those of the larger one that
+    share with them what sets both apart from its root. Before texts are read, a bitmap of each document tells
     most pairs that are not similar. What is left to cost the square are many components that meet in one bucket, of which only their roots'
-    numbers are paired.
+    numbers are paired, and differences from a root that many share.
 
     Each pair is compared by all its shingles, as 32-bit hashes: what is found holds up to their collisions. Null keys have no group; null texts are
     empty; rows with one key are one document if their texts are alike."""
@@ -316,8 +317,9 @@ def rest_of_buckets(rows: DataFrame, shared: DataFrame, bitmaps: DataFrame, memb
     """Similar pairs a, b of documents that have a bucket in common, the smaller one's shingle a leading one, and are in different components.
 
     One less the similarity is a distance. Two members can be similar only if their roots are no further from each other than
-    they are from the roots and from each other; so of all pairs of components that meet in a bucket few are opened, and of these only
-    members far enough from the root are compared."""
+    they are from the roots and from each other; so of all pairs of components that meet in a bucket few are opened. Of such a pair, the members
+    of the smaller component are compared with the root of the larger one, the pivot. One that is similar to it joins the two. The
+    others are compared with the members that share enough of what they differ from the pivot in, see ``sharing_differences``."""
     spark = rows.sparkSession
     near = 1 - similarity + SLACK
     with scratch(spark):
@@ -330,28 +332,82 @@ def rest_of_buckets(rows: DataFrame, shared: DataFrame, bitmaps: DataFrame, memb
         right = heads.select("bucket", F.col("root").alias("other"), "least", "most")
         met = left.join(right, "bucket").where("key <> other").where(
             (F.col("lead_least") <= F.col("most")) & (F.col("own_most") >= similarity * F.col("least") - SLACK))
-        radius = written(members.groupBy("root").agg(F.max("away").alias("radius")), "radii")
+        radius = written(members.groupBy("root").agg(F.max("away").alias("radius"), F.count(F.lit(1)).alias("many")), "radii")
         roots = in_order(met)
         for side in ("a", "b"):
-            roots = roots.join(radius.select(F.col("root").alias(side), F.col("radius").alias(f"radius_{side}")), side, "left")
-        roots = written(roots.select("a", "b", *[F.coalesce(f"radius_{side}", F.lit(0.0)).alias(f"radius_{side}") for side in "ab"]), "roots")
+            roots = roots.join(radius.select(F.col("root").alias(side), F.col("radius").alias(f"radius_{side}"), F.col("many").alias(f"many_{side}")), side, "left")
+        roots = written(roots.select("a", "b", *[F.coalesce(f"{c}_{side}", F.lit(none)).alias(f"{c}_{side}")
+                                                 for side in "ab" for c, none in (("radius", 0.0), ("many", 1))]), "roots")
         reach = near + F.col("radius_a") + F.col("radius_b")
         can_meet = written(possible(roots.withColumn("least", F.greatest(1 - reach, F.lit(0.0))), bitmaps), "can-meet")
         apart = similarities(can_meet, written(sets_of(rows, can_meet), "root-sets")).join(roots, ["a", "b"])
-        apart = written(apart.select("a", "b", "radius_a", "radius_b", (1 - F.col("similarity")).alias("apart")).where(F.col("apart") <= reach), "apart")
-        ends = apart.select(F.col("a").alias("root")).union(apart.select("b")).distinct()
-        alone = ends.join(members, "root", "left_anti").select("root", F.col("root").alias("key"), F.lit(0.0).alias("away"))
-        sized = written(members.join(ends, "root", "left_semi").union(alone).join(bitmaps.select("key", "size"), "key"), "sized")
+        apart = written(apart.withColumn("apart", 1 - F.col("similarity")).where(F.col("apart") <= reach), "apart")
+
+        def facing(pivot: str, other: str) -> DataFrame:
+            return apart.select(F.col(pivot).alias("pivot"), F.col(other).alias("root"), F.col(f"radius_{pivot}").alias("pivot_radius"), "apart",
+                                (F.col("apart") - F.col(f"radius_{other}")).alias("least"), (F.col(f"many_{pivot}") - F.col(f"many_{other}")).alias("more"))
+
+        faced = written(facing("a", "b").where("more >= 0").union(facing("b", "a").where("more > 0")), "facing")
+        asking = faced.join(members, "root", "left").where(F.coalesce("away", F.lit(0.0)) + F.col("pivot_radius") + near >= F.col("apart")).select(
+            F.col("pivot").alias("a"), F.coalesce("key", "root").alias("b"), F.lit(True).alias("asks"))
+        own = members.where("key <> root").join(faced.groupBy(F.col("pivot").alias("root")).agg(F.min("least").alias("least")), "root").where(
+            F.col("away") + near >= F.col("least")).select(F.col("root").alias("a"), F.col("key").alias("b"), F.lit(False).alias("asks"))
+        pairs = written(asking.union(own).distinct(), "pivots")
+        sets = written(sets_of(rows, pairs), "shingles")
+        differing = written(differences(pairs, sets, similarity), "differences")
+        joined = F.col("asks") & (F.col("similarity") >= similarity)
+        rest = in_order(sharing_differences(differing.where(~joined))).withColumn("least", F.lit(similarity))
+        rest = written(possible(rest, bitmaps), "rest")
+        found = similarities(rest, sets).where(F.col("similarity") >= similarity).select("a", "b")
+        return written(found.union(differing.where(joined).select("a", "b")), "rest-linked", keep=True)
 
-        def side(own: str) -> DataFrame:
-            return sized.select(F.col("root").alias(own), *[F.col(c).alias(f"{c}_{own}") for c in ("key", "away", "size")])
 
-        rest = apart.join(side("a"), "a").where(F.col("away_a") + F.col("radius_b") + near >= F.col("apart")).join(side("b"), "b").where(
-            (F.col("away_a") + F.col("away_b") + near >= F.col("apart")) & alike("size_a", "size_b", similarity))
-        rest = in_order(rest.select(F.col("key_a").alias("key"), F.col("key_b").alias("other"))).withColumn("least", F.lit(similarity))
-        rest = written(possible(rest, bitmaps), "rest")
-        found = similarities(rest, written(sets_of(rows, rest), "shingles")).where(F.col("similarity") >= similarity).select("a", "b")
-        return written(found, "rest-linked", keep=True)
+def differences(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of pairs a, b: asks as it is, the similarity, the shingles that only one of the two has (differ), and of b how many more these are than its
+    share of those that two similar sets may differ in (excess)."""
+    share = (1 - similarity) / (1 + similarity)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, excess, differ = [], [], []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                left, right = (np.frombuffer(side.as_buffer(), "<u4") for side in (x, y))
+                own = np.setxor1d(left, right, assume_unique=True)
+                both = (len(left) + len(right) - len(own)) // 2
+                found.append(both / max(1, both + len(own)))
+                excess.append(len(own) - share * len(right))
+                differ.append(own.view(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [*map(batch.column, ("a", "b", "asks")), pa.array(found, pa.float64()), pa.array(excess, pa.float64()), pa.array(differ, pa.list_(pa.int32()))],
+                ["a", "b", "asks", "similarity", "excess", "differ"])
+
+    return mapped(both_sets(pairs, sets).select("a", "b", "asks", "x", "y"), compare,
+                  "a long, b long, asks boolean, similarity double, excess double, differ array<int>")
+
+
+def sharing_differences(differing: DataFrame) -> DataFrame:
+    """key, other: all pairs of a document that asks and one that does not, of one pivot (a), that can be similar.
+
+    What two sets differ in is what either differs from the pivot in, but for what both do. So they are similar if and only if twice the number of the
+    differences that they share is at least the sum of their excesses, which is above zero where one is not similar to the pivot. So they
+    share one at least, and what most of a family have in common with the pivot meets nothing. Differences of each stand in one order, those that fewest
+    pairs share first; the first that two share has all the others behind it, and leaves that pair out if on either side too few are
+    left. It holds for any pivot; of one far from the others, what all differ from it in comes last."""
+    spread = differing.select("a", F.col("b").alias("key"), "asks", "excess", F.explode("differ").alias("shingle"))
+    met = spread.groupBy("a", "shingle").agg(
+        F.count_if("asks").alias("asking"), F.count_if(~F.col("asks")).alias("asked"),
+        F.min(F.when(F.col("asks"), F.col("excess"))).alias("least_asking"),
+        F.min(F.when(~F.col("asks"), F.col("excess"))).alias("least_asked")).where("asking > 0 AND asked > 0")
+    ordered = spread.join(met, ["a", "shingle"]).groupBy("a", "key", "asks").agg(F.min("excess").alias("excess"), F.sort_array(F.collect_list(F.struct(
+        (F.col("asking") * F.col("asked")).alias("pairs"), "shingle",
+        F.when(F.col("asks"), F.col("least_asked")).otherwise(F.col("least_asking")).alias("least")))).alias("own"))
+    placed = ordered.select("a", "key", "asks", "excess", F.size("own").alias("n"), F.posexplode("own").alias("place", "at")).select(
+        "a", "key", "asks", "excess", "at.shingle", (F.col("n") - F.col("place")).alias("left"), "at.least")
+    placed = written(placed.where(F.col("excess") + F.col("least") <= 2 * F.col("left") + SLACK).drop("least"), "differing")
+    asking = placed.where("asks").drop("asks")
+    asked = placed.where("NOT asks").select("a", "shingle", F.col("key").alias("other"), F.col("excess").alias("other_excess"), F.col("left").alias("other_left"))
+    return asking.join(asked, ["a", "shingle"]).where(
+        F.col("excess") + F.col("other_excess") <= 2 * F.least("left", "other_left") + SLACK).select("key", "other")
 
 
 def sets_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -370,6 +426,12 @@ def sets_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return mapped(wanted, sets, "key long, shingles binary").dropDuplicates(["key"])
 
 
+def both_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs a, b with the sets of both, x and y."""
+    return pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(
+        sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+
+
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b, similarity: the Jaccard similarity of the sets of each pair."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,9 +443,7 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 found.append(both / max(1, len(left) + len(right) - both))
             yield batch.select(["a", "b"]).append_column("similarity", pa.array(found, pa.float64()))
 
-    sides = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    return mapped(sides, compare, "a long, b long, similarity double")
+    return mapped(both_sets(pairs, sets).select("a", "b", "x", "y"), compare, "a long, b long, similarity double")
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -281,6 +281,38 @@ def test_similar_groups_of_templates_and_chains(spark):
     assert {i: found.get(i, i) for i in docs} == near
 
 
+def test_similar_groups_of_a_family_and_documents_around_it(spark, monkeypatch):
+    """Near copies of a base, and many documents that none or few of them are similar to: pairs grow with the documents, not with both numbers'
+    product; whoever is similar to a member only is found."""
+    def changed(words, marks):
+        words = list(words)
+        for k, mark in marks:
+            words[k] = f"{mark}x{k}"
+        return words
+
+    rng = random.Random(8)
+    base = prose(6000, 160).split()
+    texts = {0: base}
+    for i in range(1, 121):  # near to the base
+        texts[i] = changed(base, [(k, f"m{i}") for k in rng.sample(range(160), 2)])
+    for i in range(200, 320):  # not near enough, alike in one change of them all
+        texts[i] = changed(base, [(20, "all"), *((k, f"s{i}") for k in rng.sample(range(40, 160), 4))])
+    for i in range(400, 420):  # near to a member only, or to one of the others
+        texts[i] = changed(texts[i - 399], [(k, f"n{i}") for k in (15, 80, 140)])
+        texts[i + 20] = changed(texts[i - 200], [(k, f"o{i}") for k in (1, 2)])
+    texts = {i: " ".join(words) for i, words in texts.items()}
+    paired, possible = [], simhash.possible
+    monkeypatch.setattr(simhash, "possible", lambda pairs, bitmaps: paired.append(pairs.count()) or possible(pairs, bitmaps))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    found = dict(simhash.similar_groups(df).collect())
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
+    near = union_find(sorted(texts), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    assert {i: found.get(i, i) for i in texts} == near
+    alone = [i for i in texts if sum(root == near[i] for root in near.values()) == 1]
+    assert sum(root == 0 for root in near.values()) > 100 and len(alone) > 80
+    assert paired[-1] < 4 * len(texts)
+
+
 def test_one_of_each_takes_simhash_and_similar_pairs(spark):
     """What fingerprints link goes though few five-word shingles are shared, and so does what only these tell."""
     rng = random.Random(12)
