@@ -335,7 +335,8 @@ def rest_of_buckets(rows: DataFrame, shared: DataFrame, bitmaps: DataFrame, memb
         radius = written(members.groupBy("root").agg(F.max("away").alias("radius"), F.count(F.lit(1)).alias("many")), "radii")
         roots = in_order(met)
         for side in ("a", "b"):
-            roots = roots.join(radius.select(F.col("root").alias(side), F.col("radius").alias(f"radius_{side}"), F.col("many").alias(f"many_{side}")), side, "left")
+            roots = roots.join(radius.select(F.col("root").alias(side), F.col("radius").alias(f"radius_{side}"),
+                                             F.col("many").alias(f"many_{side}")), side, "left")
         roots = written(roots.select("a", "b", *[F.coalesce(f"{c}_{side}", F.lit(none)).alias(f"{c}_{side}")
                                                  for side in "ab" for c, none in (("radius", 0.0), ("many", 1))]), "roots")
         reach = near + F.col("radius_a") + F.col("radius_b")
@@ -348,10 +349,15 @@ def rest_of_buckets(rows: DataFrame, shared: DataFrame, bitmaps: DataFrame, memb
                                 (F.col("apart") - F.col(f"radius_{other}")).alias("least"), (F.col(f"many_{pivot}") - F.col(f"many_{other}")).alias("more"))
 
         faced = written(facing("a", "b").where("more >= 0").union(facing("b", "a").where("more > 0")), "facing")
-        asking = faced.join(members, "root", "left").where(F.coalesce("away", F.lit(0.0)) + F.col("pivot_radius") + near >= F.col("apart")).select(
-            F.col("pivot").alias("a"), F.coalesce("key", "root").alias("b"), F.lit(True).alias("asks"))
-        own = members.where("key <> root").join(faced.groupBy(F.col("pivot").alias("root")).agg(F.min("least").alias("least")), "root").where(
-            F.col("away") + near >= F.col("least")).select(F.col("root").alias("a"), F.col("key").alias("b"), F.lit(False).alias("asks"))
+        # all joins with the members are inner or semi joins of two tables, so that a large component can be split
+        smaller = written(faced.select("root").distinct(), "smaller")
+        alone = smaller.join(radius, "root", "left_anti").select("root", F.col("root").alias("key"), F.lit(0.0).alias("away"))
+        facing_members = written(members.join(smaller, "root", "left_semi").union(alone), "facing-members")
+        asking = faced.join(facing_members, "root").where(F.col("away") + F.col("pivot_radius") + near >= F.col("apart")).select(
+            F.col("pivot").alias("a"), F.col("key").alias("b"), F.lit(True).alias("asks"))
+        least = written(faced.groupBy(F.col("pivot").alias("root")).agg(F.min("least").alias("least")), "least")
+        own = members.where("key <> root").join(least, "root").where(F.col("away") + near >= F.col("least")).select(
+            F.col("root").alias("a"), F.col("key").alias("b"), F.lit(False).alias("asks"))
         pairs = written(asking.union(own).distinct(), "pivots")
         sets = written(sets_of(rows, pairs), "shingles")
         differing = written(differences(pairs, sets, similarity), "differences")
@@ -398,7 +404,7 @@ def sharing_differences(differing: DataFrame) -> DataFrame:
         F.count_if("asks").alias("asking"), F.count_if(~F.col("asks")).alias("asked"),
         F.min(F.when(F.col("asks"), F.col("excess"))).alias("least_asking"),
         F.min(F.when(~F.col("asks"), F.col("excess"))).alias("least_asked")).where("asking > 0 AND asked > 0")
-    ordered = spread.join(met, ["a", "shingle"]).groupBy("a", "key", "asks").agg(F.min("excess").alias("excess"), F.sort_array(F.collect_list(F.struct(
+    ordered = spread.join(written(met, "met"), ["a", "shingle"]).groupBy("a", "key", "asks").agg(F.min("excess").alias("excess"), F.sort_array(F.collect_list(F.struct(
         (F.col("asking") * F.col("asked")).alias("pairs"), "shingle",
         F.when(F.col("asks"), F.col("least_asked")).otherwise(F.col("least_asking")).alias("least")))).alias("own"))
     placed = ordered.select("a", "key", "asks", "excess", F.size("own").alias("n"), F.posexplode("own").alias("place", "at")).select(
